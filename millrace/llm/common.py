@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import atexit
+import sys
+import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,3 +74,8 @@ def n_words_of(text: Column) -> Column:
     """How many words a text has, without building them twice."""
     trimmed = F.btrim(text, F.lit(SPACES))
     return F.when(F.length(trimmed) == 0, F.lit(0)).otherwise(F.size(F.split(trimmed, SPACE_RUN))).cast("long")
+
+
+def worker_store() -> dict:
+    """A dict that lives as long as a Python worker, so tasks can share what costs to build."""
+    return sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__

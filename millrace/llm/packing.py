@@ -10,7 +10,7 @@ individual of a block over its islands gives the sequences. Full pieces stand al
 
 Tokens of a word depend on the word only (the tokenizer drops white space and never
 joins across it), so words are encoded once and their ids remembered, a bounded number
-in each task.
+in each Python worker.
 
 Defined results: null texts are empty, and an empty document is the end id alone;
 repeated rows are packed as often as they occur; an empty table gives no sequences.
@@ -19,6 +19,7 @@ repeated rows are packed as often as they occur; an empty table gives no sequenc
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -26,15 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, worker_store
 
 SEQUENCE = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Pieces of a block; islands on it, individuals on each, epochs and generations of each.
 BLOCK, ISLANDS, INDIVIDUALS, EPOCHS, GENERATIONS = 4096, 3, 3, 2, 3
-#: Words whose ids a task remembers, and the longest of them in bytes.
-WORDS_KEPT, WORD_BYTES = 400_000, 64
+#: Words whose ids a Python worker remembers, and the longest of them in bytes.
+WORDS_KEPT, WORD_BYTES = 800_000, 64
+#: ASCII punctuation that is taken off a word, and the letters it may follow.
+TAIL, LETTERS = b".,;:!?*$%&#|)", frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -43,8 +46,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds:
-    """ids of whole texts, as little-endian unsigned 32-bit numbers."""
+class WordIds(dict):
+    """word -> its ids as little-endian unsigned 32-bit numbers, found when first asked for.
+
+    Lower-casing ASCII first changes nothing, as the tokenizer lower-cases after a
+    normal form that ASCII case does not touch; only special tokens must keep theirs.
+    Punctuation after a last letter is a token of its own, so it is encoded apart.
+    """
 
     def __init__(self, path: str):
         import os
@@ -52,33 +60,44 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.tokenizer, self.stems = Tokenizer.from_file(path), {}
+
+    def encoded(self, word: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
 
-    def learn(self, words: list[bytes]) -> None:
-        if len(self.known) + len(words) > WORDS_KEPT:
-            self.known.clear()
-        texts = [w.decode("utf-8", "replace") for w in words]
-        for w, e in zip(words, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+    def __missing__(self, word: bytes) -> bytes:
+        stem = word.rstrip(TAIL)
+        if stem and stem[-1] in LETTERS and len(stem) <= WORD_BYTES:
+            out = self.stem(stem) + (self.stem(word[len(stem) :]) if len(stem) < len(word) else b"")
+        else:
+            out = self.encoded(word)
+        if len(word) <= WORD_BYTES:
+            if len(self) >= WORDS_KEPT:
+                self.clear()
+            self[word] = out
+        return out
+
+    def stem(self, part: bytes) -> bytes:
+        out = self.stems.get(part)
+        if out is None:
+            if len(self.stems) >= WORDS_KEPT:
+                self.stems.clear()
+            out = self.encoded(part)
+            if len(part) <= WORD_BYTES:
+                self.stems[part] = out
+        return out
 
     def ids(self, text: bytes) -> bytes:
         """Split at ASCII white space, which the tokenizer drops; other white space is inside words and dropped by it."""
-        words, known = text.split(), self.known
-        new = [w for w in set(words) if w not in known]
-        for at in range(0, len(new), 50_000):
-            self.learn(new[at : at + 50_000])
-        try:
-            return b"".join([known[w] for w in words]) if len(new) <= 50_000 else self._slow(words)
-        except KeyError:  # the table was cleared in between
-            return self._slow(words)
-
-    def _slow(self, words: list[bytes]) -> bytes:
-        out = []
-        for w in words:
-            if w not in self.known:
-                self.learn([w])
-            out.append(self.known[w])
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+
+
+def word_ids(path: str) -> WordIds:
+    """The words that this Python worker knows already."""
+    store = worker_store()
+    if path not in store:
+        store[path] = WordIds(path)
+    return store[path]
 
 
 PIECES = "doc_id long, row long, piece int, start long, length long, ids_crc32 long"
@@ -88,7 +107,7 @@ _END = np.array([END_ID], "<u4").tobytes()
 
 def _pieces(path: str, sequence: int):
     def run(batches):
-        words = WordIds(path)
+        words = word_ids(path)
         for batch in batches:
             out = []
             for i in range(batch.num_rows):
