@@ -15,8 +15,8 @@ From buckets to components, without ever listing the pairs of a bucket:
    below the threshold), then exactly on full sets. Links give components.
 3. What may still be missing are links between components that share a bucket of three
    or more. For the members of such buckets, shingles that occur in two components are
-   counted; a text of which too few are such shingles cannot have a link (prefix filter),
-   and the rest meet on the rarest of their shared shingles, all of them, and are
+   counted; a text of which too few are such shingles cannot have a link, and the rest
+   meet on the rarest of their shared shingles, by size (prefix filter), and are
    verified exactly. This is complete for all buckets, whatever their size.
 
 Chance of missing a pair at exactly 0.85: (1 - 0.85^5)^24 < 1e-6 for banding.
@@ -44,6 +44,8 @@ PERCENT = 85
 LEAST_AGREEING = int(T * 0.85 - 5.5 * (T * 0.85 * 0.15) ** 0.5)
 #: Ids that may be sent to every executor; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Size classes of the prefix filter: so many to a factor of e.
+SIZE_CLASSES = 50
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15 | 1)
@@ -247,13 +249,20 @@ def links_between(met: DataFrame, found: DataFrame, nodes: DataFrame, sets: Data
     open_ = keep(label.join(mixed, "key", "left_semi").select("doc_id", "n", "label").distinct(), "open")
     items = sets.join(open_, "doc_id").select("doc_id", "n", "label", F.explode("items").alias("h"))
     across = items.groupBy("h").agg(F.count("*").alias("df"), F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("h", "df")
-    # what a text shares with other components; a link needs PERCENT of its shingles among them
-    mine = items.join(across, "h").groupBy("doc_id", "n", "label").agg(F.count("*").alias("c"), F.collect_list(F.struct("df", "h")).alias("hs")).where(100 * F.col("c") >= PERCENT * F.col("n"))
-    least = F.ceil(F.col("n") * PERCENT / 100)
-    prefix = F.slice(F.array_sort("hs"), 1, (F.col("c") - least + 1).cast("int"))
-    heads = keep(mine.select("doc_id", "n", "label", F.explode(prefix["h"]).alias("h")), "prefixes")
-    other = heads.select(F.col("doc_id").alias("b"), F.col("n").alias("_n"), F.col("label").alias("_l"), "h")
-    pairs = heads.join(other, "h").where((F.col("label") < F.col("_l")) & _sizes_allow(F.col("n"), F.col("_n"))).select(F.col("doc_id").alias("a"), "b").distinct()
+    # what a text shares with other components, rarest first
+    mine = items.join(across, "h").groupBy("doc_id", "n", "label").agg(F.count("*").alias("c"), F.collect_list(F.struct("df", "h")).alias("hs"))
+    mine = mine.withColumn("hs", F.array_sort("hs"))
+    # a link of sizes m <= n needs PERCENT / (100 + PERCENT) * (n + m) common shingles. As the smaller text of a
+    # link, one stands in the class of its own size, as the larger one in those of all sizes down to PERCENT of its own
+    need = lambda m: F.ceil((F.col("n") + m) * PERCENT / (100 + PERCENT))
+    head = lambda least: F.slice("hs", 1, F.greatest(F.col("c") - least + 1, F.lit(0)).cast("int"))["h"]
+    size_class = lambda m: F.floor(F.log(m.cast("double")) * SIZE_CLASSES).cast("int")
+    smaller = mine.where(F.col("c") >= need(F.col("n"))).select("doc_id", "n", "label", size_class(F.col("n")).alias("s"), F.explode(head(need(F.col("n")))).alias("h"))
+    larger = mine.where(100 * F.col("c") >= PERCENT * F.col("n")).withColumn("s", F.explode(F.sequence(size_class(F.col("n") * PERCENT / 100), size_class(F.col("n")))))
+    floor = F.greatest(F.exp(F.col("s") / SIZE_CLASSES) - 1e-6 * F.col("n"), F.col("n") * PERCENT / 100)
+    larger = larger.where(F.col("c") >= need(floor)).select(F.col("doc_id").alias("b"), F.col("n").alias("_n"), F.col("label").alias("_l"), "s", F.explode(head(need(floor))).alias("h"))
+    smaller = keep(smaller, "prefixes")
+    pairs = smaller.join(larger, ["h", "s"]).where((F.col("label") != F.col("_l")) & (F.col("n") <= F.col("_n")) & _sizes_allow(F.col("n"), F.col("_n"))).select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
     return links_of(pairs, nodes, sets)
 
 
