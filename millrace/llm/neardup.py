@@ -29,9 +29,11 @@ as one node where they hold its set; repeated rows give repeated result rows.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from .common import keep, release
 
@@ -166,11 +168,9 @@ def _set_rows(batches):
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], schema=_SET_SCHEMA)
 
 
-@F.pandas_udf("int")
-def _agreeing(a, b):
+@F.pandas_udf(IntegerType())
+def _agreeing(a: pd.Series, b: pd.Series) -> pd.Series:
     """Coordinates on which two sketches agree, by one byte of each."""
-    import pandas as pd
-
     if not len(a):
         return pd.Series([], dtype="int32")
     x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(-1, T) for s in (a, b))
@@ -290,7 +290,7 @@ n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
 e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
-r(id, at) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, u.b FROM r JOIN u ON r.at = u.a),
-c AS (SELECT id, min(at) AS component_id FROM r GROUP BY id)
+r(id, node) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, u.b FROM r JOIN u ON r.node = u.a),
+c AS (SELECT id, min(node) AS component_id FROM r GROUP BY id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.id = d.doc_id"""
