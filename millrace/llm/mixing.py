@@ -1,6 +1,6 @@
 """Mixing sources to target weights.
 
-Every source is cut into about sqrt(n) blocks of documents. What the mix takes of a
+Every source is cut into blocks of documents, about sqrt(n) of them where it is large. What the mix takes of a
 source is a run of block draws: whole passes over its blocks, each in an order of its
 own, and a last partial pass. A splitting tree deals these quotas to output shards: a
 node splits its quota vector between its halves by one multivariate hypergeometric
@@ -30,6 +30,8 @@ from .common import keep, n_words_of, texts
 MAX_SOURCES = 100_000
 MAX_REPEATS = 3
 SHARD_WORDS = 1_000_000
+#: Documents of a block in small sources; large ones have about sqrt(n) in each.
+BLOCK_DOCS = 64
 
 
 def fill_targets(sizes: Sequence[int], weights: Sequence[float], cap: float = MAX_REPEATS, share: float = 1.0) -> list[float]:
@@ -83,7 +85,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
         }
     )
     counts = rows.groupBy("_src").agg(F.count("*").alias("_n"))
-    n_blocks = F.ceil(F.sqrt("_n")).cast("long")
+    n_blocks = F.ceil(F.least(F.sqrt("_n"), F.col("_n") / BLOCK_DOCS)).cast("long")
     if counts.limit(MAX_SOURCES + 1).count() > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: weigh groups of sources instead")
     blocks_of = {r["_src"]: r["k"] for r in counts.select("_src", n_blocks.alias("k")).toLocalIterator()}
@@ -133,12 +135,20 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
         .groupBy("_src", "_block")
         .agg(F.array_sort(F.collect_list(F.struct(F.col("_pass").alias("pass"), F.col("_shard").alias("shard"), F.col("_limit").alias("limit")))).alias("_draws"))
     )
-    in_block = Window.partitionBy("_src", "_block").orderBy(F.xxhash64(F.lit(seed + 1), "_row"), "_row", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    near = F.filter("_draws", lambda d: d["limit"].isNull() | (2 * (d["limit"] - F.col("_upto")) >= F.col("_size")))
+    # of the block that a source's last pass ends in: documents in order while they fit, then twice the largest that still does
+    block = Window.partitionBy("_src", "_block")
+    in_order = block.orderBy(F.xxhash64(F.lit(seed + 1), "_row"), "_row", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    placed = rows.withColumn("_upto", F.sum("_size").over(in_order)).join(taken, ["_src", "_block"], "left")
+    placed = placed.withColumn("_limit", F.array_max(F.transform("_draws", lambda d: d["limit"])))
+    placed = placed.withColumn("_in", F.coalesce(F.col("_upto") <= F.col("_limit"), F.lit(False)))
+    for _ in range(2):
+        placed = placed.withColumn("_gap", F.col("_limit") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("_size"))).over(block), F.lit(0)))
+        placed = placed.withColumn("_fits", F.coalesce(~F.col("_in") & (F.col("_size") > 0) & (F.col("_size") <= F.col("_gap")), F.lit(False)))
+        largest = F.row_number().over(block.orderBy(F.desc("_fits"), F.desc("_size"), "_row"))
+        placed = placed.withColumn("_in", F.col("_in") | (F.col("_fits") & (largest == 1)))
+    own = F.filter("_draws", lambda d: d["limit"].isNull() | F.col("_in"))
     return (
-        rows.withColumn("_upto", F.sum("_size").over(in_block) - F.col("_size"))
-        .join(taken, ["_src", "_block"], "left")
-        .withColumn("_draws", F.transform(F.coalesce(near, F.array()), lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"))))
+        placed.withColumn("_draws", F.transform(F.coalesce(own, F.array()), lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"))))
         .join(plan_df.select("_src", "_source_size", "_target"), "_src")
         .select(*docs.columns, "_size", "_source_size", "_target", "_draws", "_row")
     )
