@@ -6,7 +6,8 @@ work on each block. An individual is a list of bins. Crossover injects some of a
 best-filled bins whole, removes the bins that hold the same pieces, and best-fits the
 pieces this displaces, largest first; selection keeps fewer bins, then the fuller ones.
 After each epoch every island sends its elite to the next one, by a shuffle. The best
-individual of a block over its islands gives the sequences. Full pieces stand alone.
+individual of a block over its islands gives the sequences; a block ends its search when
+it needs no more sequences than its tokens fill. Full pieces stand alone.
 
 Tokens of a word depend on the word only (the tokenizer drops white space and never
 joins across it), so words are encoded once and their ids remembered, a bounded number
@@ -34,8 +35,8 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Pieces of a block; islands on it, individuals on each, epochs and generations of each.
 BLOCK, ISLANDS, INDIVIDUALS, EPOCHS, GENERATIONS = 4096, 3, 3, 2, 3
-#: Words whose ids a Python worker remembers, and the longest of them in bytes.
-WORDS_KEPT, WORD_BYTES = 800_000, 64
+#: Words and stems whose ids a Python worker remembers, and the longest of them in bytes.
+WORDS_KEPT, STEMS_KEPT, WORD_BYTES = 250_000, 500_000, 64
 #: ASCII punctuation that is taken off a word, and the letters it may follow.
 TAIL, LETTERS = b".,;:!?*$%&#|)", frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
@@ -80,7 +81,7 @@ class WordIds(dict):
     def stem(self, part: bytes) -> bytes:
         out = self.stems.get(part)
         if out is None:
-            if len(self.stems) >= WORDS_KEPT:
+            if len(self.stems) >= STEMS_KEPT:
                 self.stems.clear()
             out = self.encoded(part)
             if len(part) <= WORD_BYTES:
@@ -218,7 +219,10 @@ STATE = "block long, island int, sizes array<int>, codes array<array<int>>"
 def _seeded(sequence: int, islands: int, individuals: int):
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         sizes = frame.sort_values(["row", "piece"])["length"].astype(int).tolist()
-        out = []
+        out, least = [], -(-sum(sizes) // sequence)
+        first = best_fit(sizes, sequence)
+        if len(first) <= least:  # no search can do better
+            return pd.DataFrame([(key[0], 0, sizes, [encode(first, len(sizes))])], columns=["block", "island", "sizes", "codes"])
         for island in range(islands):
             rng, codes = np.random.default_rng([int(key[0]), island]), []
             for k in range(individuals):
@@ -248,6 +252,8 @@ def _evolved(sequence: int, islands: int, individuals: int, generations: int, ep
                 herd.append((fitness(child, sizes, sequence), len(codes) + g * individuals + k, child))
             herd = sorted(herd, key=lambda x: (-x[0], x[1]))[:individuals]
         best = [encode(b, len(sizes)) for _, _, b in herd[:individuals]]
+        if len(herd[0][2]) <= least:
+            return pd.DataFrame([(block, island, sizes, best[:1])], columns=["block", "island", "sizes", "codes"])
         # the elite moves to the next island
         return pd.DataFrame([(block, island, sizes, best), (block, (island + 1) % islands, sizes, best[:1])], columns=["block", "island", "sizes", "codes"])
 
