@@ -14,6 +14,8 @@ without spans has the hash of the empty string; repeated rows count as rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,8 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 _K = len(ALPHABET) + 1
 #: Least log-likelihood ratio of a run in all, and a character pair.
 LEAST_TOTAL, LEAST_MEAN = 12.0, 0.35
+#: Pairs that the probability of a character alone weighs as much as.
+BACK_OFF = 8.0
 #: The samples are bounded: labelled documents read, and strings made of each kind.
 SAMPLE_DOCS, SAMPLE_STRINGS = 2_000, 20_000
 
@@ -43,7 +47,17 @@ def identifier_samples(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_DOCS)
     some = docs.join(F.broadcast(good), "doc_id").select(F.slice(words, 1, 400).alias("_w"))  # n rows at most
     at = F.sequence(F.lit(0), F.greatest(F.size("_w") - 3, F.lit(0)))
     w = lambda i: F.coalesce(F.get(F.col("_w"), i), F.lit("x"))
-    forms = F.flatten(F.transform(at, lambda i: F.array(w(i), F.concat(F.lower(w(i)), F.lit("_"), F.lower(w(i + 1)), F.lit("_"), F.lower(w(i + 2))), F.concat(F.lower(w(i)), F.initcap(w(i + 1)), F.initcap(w(i + 2))), F.concat(F.lower(w(i)), F.lit("-"), F.lower(w(i + 1)), F.lit("/"), F.lower(w(i + 2))))))
+    number = lambda i: F.pmod(F.hash(w(i)), F.lit(1000)).cast("string")
+    each = lambda i: F.array(
+        w(i),
+        F.concat(F.lower(w(i)), F.lit("_"), F.lower(w(i + 1)), F.lit("_"), F.lower(w(i + 2))),
+        F.concat(F.lower(w(i)), F.initcap(w(i + 1)), F.initcap(w(i + 2))),
+        F.concat(F.lower(w(i)), F.lit("-"), F.lower(w(i + 1)), F.lit("/"), F.lower(w(i + 2))),
+        F.concat(F.upper(w(i)), F.lit("_"), F.upper(w(i + 1))),
+        F.when(F.pmod(i, F.lit(4)) == 0, F.concat(F.lower(w(i)), F.lit("-"), number(i), F.lit("/"), number(i + 1))),
+    )
+    rules = F.array(*[F.lit(c * 24) for c in "-=_+/"])  # ruled lines
+    forms = F.concat(F.filter(F.flatten(F.transform(at, each)), lambda v: v.isNotNull()), rules)
     return some.select(F.explode(forms).alias("value"), F.lit(0).alias("random"))
 
 
@@ -60,18 +74,25 @@ def _code(text: Column, i: Column) -> Column:
 
 
 def train(samples: DataFrame) -> list[float]:
-    """The log ratio of each character pair, row by row, from (value, random)."""
+    """The log ratio of each character pair, row by row, from (value, random).
+
+    A pair's probability is smoothed towards that of its second character alone, which
+    weighs as much as BACK_OFF pairs: a pair whose first character was never seen says
+    what its second one says.
+    """
     pairs = F.transform(F.sequence(F.lit(0), F.length("value") - 1), lambda i: F.struct(F.when(i == 0, F.lit(0)).otherwise(F.instr(F.lit(ALPHABET), F.substr(F.col("value"), i, F.lit(1)))).alias("a"), _code(F.col("value"), i + 1).alias("b")))
     counts = samples.where(F.length("value") > 0).select("random", F.inline(pairs)).groupBy("a", "b").agg(F.count_if(F.col("random") == 1).alias("r"), F.count_if(F.col("random") == 0).alias("w"))
     rows = {(x["a"], x["b"]): (x["r"], x["w"]) for x in counts.toLocalIterator()}  # _K squared at most
-    import math
-
+    alone = []
+    for k in (0, 1):
+        seen = [sum(rows.get((a, b), (0, 0))[k] for a in range(_K)) + 0.5 for b in range(_K)]
+        alone.append([x / sum(seen) for x in seen])
     out = []
     for a in range(_K):
         sums = [sum(rows.get((a, b), (0, 0))[k] for b in range(_K)) for k in (0, 1)]
         for b in range(_K):
-            r, w = rows.get((a, b), (0, 0))
-            out.append(math.log((r + 0.5) / (sums[0] + 0.5 * _K)) - math.log((w + 0.5) / (sums[1] + 0.5 * _K)))
+            p = [(rows.get((a, b), (0, 0))[k] + BACK_OFF * alone[k][b]) / (sums[k] + BACK_OFF) for k in (0, 1)]
+            out.append(math.log(p[0]) - math.log(p[1]))
     return out
 
 

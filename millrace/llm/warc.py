@@ -33,6 +33,8 @@ RECORDS_A_FILE = 5_000
 CRLF = "\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 GZIP = b"\x1f\x8b\x08"
+#: Fields that a record must have.
+REQUIRED = ("warc-type", "warc-record-id")
 
 
 def revisits(pages: DataFrame) -> DataFrame:
@@ -95,7 +97,11 @@ def parse_record(data, at: int):
         name, colon, value = line.partition(":")
         if not colon:
             return "header line without colon"
+        if "\r" in value or "\n" in value:
+            return "bare line end in a header"
         headers[name.strip().lower()] = value.strip()
+    if lacks := [k for k in REQUIRED if k not in headers]:
+        return f"no {lacks[0]}"
     size = headers.get("content-length", "")
     if not size.isdigit():
         return "no length"
