@@ -62,7 +62,9 @@ def parsed(text: str | bytes | None) -> dict:
 
 @F.pandas_udf(PARSED)
 def _parse(texts: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([parsed(t) for t in texts], columns=PARSED.names)
+    # rows of objects, so that a field a document lacks stays None and does not become NaN
+    rows = [[r.get(n) for n in PARSED.names] for r in map(parsed, texts)]
+    return pd.DataFrame(rows, columns=PARSED.names, dtype=object)
 
 
 #: Not deterministic to the optimizer, so a filter on its result does not run it twice.
