@@ -75,7 +75,7 @@ def format_chat(turns: DataFrame, parts: str = "parts") -> DataFrame:
     held = F.filter(F.transform(parts, lambda p, i: F.struct(i.alias("place"), p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens"))), lambda a: a["kind"] != "text")
     rows = turns.select("conv_id", "turn", texts("role").alias("role"), content.alias("_content"), head.alias("_head"), held.alias("_held"))
     rows = rows.withColumn("_piece", F.concat("_head", "_content", F.lit(END)))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "_content")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", unescape(F.col("_content")), "_content")
     rows = rows.withColumns({"_n": F.row_number().over(order), "_to": F.sum(F.length("_piece").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0))})
     end = F.col("_to") - len(END)
     mask = F.when(F.col("role") == LEARNED_ROLE, F.struct((end - F.length("_content")).alias("start"), end.alias("end")))
