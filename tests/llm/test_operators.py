@@ -186,7 +186,7 @@ def test_pii_base_and_terms(spark):
         x = "".join(rng.choice(["4111 1111 1111 1111", "1.2.3", "@", ".", "-", " ", "+", "(", ")", "7", "25", "a", "b.c", "%", "é", "00", "+1 555 123"]) for _ in range(rng.randrange(25)))
         assert pii.base_spans(x) == brute_pii(x), x
     filler = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
-    rows = [(i, f"{filler[i % 6]} note {filler[(i + 1) % 6]} Zaphod writes bob@x.org {filler[(i + 2) % 6]}") for i in range(6)] + [(50, "Zaphod alone"), (51, "alpha note writes")] + [(100 + i, " ".join(filler * 200) + " note writes" * 60) for i in range(5)]
+    rows = [(i, f"{filler[i % 6]} note {filler[(i + 1) % 6]} Zaphod writes bob@x.org {filler[(i + 2) % 6]}") for i in range(6)] + [(50, "Zaphod alone"), (51, "alpha note writes")] + [(100 + i, " ".join(filler * 200) + " note writes" * 60) for i in range(10)]  # so large that the entity's own rarity exceeds LEAST_BITS
     found = {r["doc_id"]: [s["kind"] for s in r["_spans"]] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found[50] == [4] and found[51] == [] and found[0] == [4, 0]
     clean = {r["doc_id"]: r["text"] for r in pii.sanitised(pii.find(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
