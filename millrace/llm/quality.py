@@ -118,7 +118,12 @@ def cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang", limit:
 
 def judge(counts: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
     """counts with base_failed and kept. The cutoffs (strata times rules) are the only
-    thing sent to all tasks, as one small map for each stratum."""
+    thing sent to all tasks, as one small map for each stratum.
+
+    counts are read twice, so they are written first: a filter on them would otherwise be
+    pushed into the counting, which then runs anew for every word of a text.
+    """
+    counts = keep(counts, "quality-counts")
     found = cutoffs(counts, labels, stratum, **options)
     per = found.groupBy("_stratum").agg(*[F.max(F.when(F.col("_rule") == r, F.col("_cutoff"))).alias(f"_c_{r}") for r in RULES])
     over = F.lit(False)
@@ -131,7 +136,7 @@ def judge(counts: DataFrame, labels: DataFrame, stratum: str = "lang", **options
 def op10_quality(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    counts = keep(text_counts(docs.select("doc_id", "text", "lang"), "doc_id", "lang"), "quality-counts")
+    counts = text_counts(docs.select("doc_id", "text", "lang"), "doc_id", "lang")
     return judge(counts, labels).select("doc_id", *COUNTS, "base_failed", "kept")
 
 
@@ -139,6 +144,6 @@ def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without those the rules reject; a row's verdict rests on its own text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
     rows = docs.withColumn("_row", F.xxhash64("text"))
-    counts = keep(text_counts(rows.select("doc_id", "text", "lang", "_row"), "doc_id", "lang", "_row"), "quality-counts")
+    counts = text_counts(rows.select("doc_id", "text", "lang", "_row"), "doc_id", "lang", "_row")
     gone = judge(counts, labels).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("_row").alias("_r"))
     return rows.join(gone, rows["doc_id"].eqNullSafe(gone["_id"]) & (rows["_row"] == gone["_r"]), "left_anti").select(*docs.columns)
