@@ -4,10 +4,11 @@ Rules score a text (share of symbols, of repeated windows, of duplicate lines, l
 of words). A rule rejects what lies beyond its cutoff, and the cutoff
 is chosen per stratum from a fixed grid: labelled good documents show how many it would
 wrongly reject, and only a cutoff whose exact binomial tail P(Bin(n, limit) <= rejected)
-is at most confidence / (number of tests in all) is certified, so that with the stated
-confidence every certified cutoff of every stratum keeps its false rejections under its
-limit at once (Bonferroni over strata, rules and grid). The limit of a stratum is shared
-by its rules. One half of the labelled documents, by a hash of the id, decides which
+is at most confidence / (rules * strata) is certified. A rule's cutoffs are tested as a
+fixed sequence from lax to strict that stops at the first failure, so the grid costs no
+correction, and with the stated confidence every certified cutoff of every stratum keeps
+its false rejections under its limit at once (Bonferroni over strata and rules). The
+limit of a stratum is shared by its rules. One half of the labelled documents, by a hash of the id, decides which
 rules separate bad from good and which certified cutoff rejects most of the bad; the
 other half, the holdout, certifies. All of this is DataFrame expressions; labels join
 narrow counts, never texts.
@@ -109,10 +110,15 @@ def cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang", limit:
         F.count_if(good & held).alias("n"), F.count_if(bad & ~held).alias("n_bad"), F.count_if(good & ~held).alias("n_good"),
         *[x for i in range(len(names)) for x in (F.count_if(good & held & F.col(f"_o{i}")).alias(f"k{i}"), F.count_if(bad & ~held & F.col(f"_o{i}")).alias(f"b{i}"), F.count_if(good & ~held & F.col(f"_o{i}")).alias(f"g{i}"))],
     )
+    # strata are counted before inline: Spark explodes first where both stand in one select
+    sums = sums.withColumn("_strata", F.count("*").over(Window.partitionBy()))
     tests = F.array(*[F.struct(F.lit(r).alias("_rule"), F.lit(c).alias("_cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("b"), F.col(f"g{i}").alias("g")) for i, (r, c) in enumerate(names)])
-    each = sums.select("_stratum", "n", "n_bad", "n_good", F.count("*").over(Window.partitionBy()).alias("_strata"), F.inline(tests))
+    each = sums.select("_stratum", "n", "n_bad", "n_good", "_strata", F.inline(tests))
     tail = binomial_tail(F.col("n"), F.col("k"), F.lit(limit / len(RULES)))
-    sure = each.where((F.col("n") > 0) & (F.col("b") * F.greatest("n_good", F.lit(1)) > F.col("g") * F.greatest("n_bad", F.lit(1)))).where(tail <= confidence / (len(names) * F.col("_strata")))
+    passed = (F.col("n") > 0) & (tail <= confidence / (len(RULES) * F.col("_strata")))
+    laxer = Window.partitionBy("_stratum", "_rule").orderBy(F.desc("_cutoff")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    certified = each.withColumn("_passed", passed).withColumn("_sure", F.min("_passed").over(laxer)).where("_sure")
+    sure = certified.where(F.col("b") * F.greatest("n_good", F.lit(1)) > F.col("g") * F.greatest("n_bad", F.lit(1)))
     return sure.groupBy("_stratum", "_rule").agg(F.min_by("_cutoff", F.struct(-F.col("b"), -F.col("_cutoff"))).alias("_cutoff"))
 
 

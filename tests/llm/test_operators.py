@@ -238,6 +238,16 @@ def test_quality_bounds(spark):
     assert few.where("kept").count() == 12_000
 
 
+def test_quality_grid_costs_no_correction(spark):
+    langs = ("de", "en", "es", "fr")
+    rows = [(i, langs[i % 4], 100, 500, 250 if i // 4 % 4 == 0 else 0, 0, 0) for i in range(8_000)]
+    counts = spark.createDataFrame(rows, "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    labels = spark.createDataFrame([(i, 0 if i // 4 % 4 == 0 else 1) for i in range(8_000)], "doc_id long, quality int")
+    # some 750 good held-out labels a stratum: 596 suffice at 5 rules and 4 strata, 1,060 are needed where the grid is corrected for
+    assert sorted((r["_stratum"], r["_rule"], r["_cutoff"]) for r in quality.cutoffs(counts, labels).collect()) == [(x, "symbols", 0.4) for x in langs]
+    assert quality.judge(counts, labels).where("kept").count() == 6_000
+
+
 def test_counts_brute_force(spark):
     texts = ["a b c d e a b c d e", "x x x x x x x", "l1\nl1\n \nl2 #%\nl1", "é" * 3, "a b c d", ""]
     got = {r["doc_id"]: r for r in quality.text_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id").collect()}
