@@ -1,19 +1,23 @@
 """License scans by conditional compression.
 
-Lines that speak of licensing are candidate blocks. Each is compressed plainly and with
-every license template as a zstandard raw dictionary; templates are ranked by how much
-they shorten the block, and the best few are confirmed word by word: the differences of
-wording between template and block decide, fewest first, then the longer template.
-
-Defined results: null texts are empty; a text without licenses has an empty list;
-long lines are read in windows around each cue, so blocks are bounded while every cue of
-the whole text is read; repeated rows count as rows.
+Words around cues of licensing, on whatever lines they stand, are candidate windows: a
+longest template's words on either side of every cue, so no notice is cut. Each window is
+compressed plainly and with every license template as a zstandard raw dictionary; every
+template that shortens it is confirmed word by word wherever it lies in the window. Of all
+places that overlap the best stays: fewest differences of wording, then the longer template.
+
+Defined results: null texts are empty; a text without licenses has an empty list; words
+alone are compared, so line ends, white space and comment signs between them do not
+matter; long runs of cues are read in windows that overlap by a longest template, so
+windows are bounded while every cue of the whole text is read; repeated rows count as rows.
 """
 
 from __future__ import annotations
 
 import re
-from difflib import SequenceMatcher
+from bisect import bisect_left
+from collections import deque
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,26 +50,53 @@ TEMPLATES = (
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
 )
-CUE = re.compile(r"licen[cs]|copyright|creative commons|public domain|hereby granted|redistribution and use|\bcc[ -]?(?:by|0)\b", re.IGNORECASE)
-#: Code points read on either side of a cue, where a line is longer.
-REACH = 400
-#: Templates confirmed for each block, and the share of wording that may differ.
-BEST, MAX_DIFFERENCE = 5, 0.1
+#: Words of a cue may stand on different lines.
+CUE = re.compile(r"licen[cs]|copyright|creative[\W_]+commons|public[\W_]+domain|hereby[\W_]+granted|redistribution[\W_]+and[\W_]+use|\bcc[\W_]*(?:by|0)\b", re.IGNORECASE)
+#: Share of a template's words that may differ.
+MAX_DIFFERENCE = 0.1
+#: Code points of a word that are compared; words of templates are shorter.
+WORD_CHARS = 64
 
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
 
 
-def blocks(text: str):
-    """(start, end) of candidate blocks: whole lines, or the parts of long lines near cues."""
-    done = -1
-    for cue in CUE.finditer(text):
-        if cue.start() < done:
-            continue
-        start = max(text.rfind("\n", max(0, cue.start() - REACH), cue.start()) + 1, cue.start() - REACH, done, 0)
-        end = text.find("\n", cue.end(), cue.end() + REACH)
-        end = min(cue.end() + REACH, len(text)) if end < 0 else end
-        done = end
-        yield start, end
+def words_of(text: str) -> list[str]:
+    return [m[0].lower() for m in _WORD.finditer(text)]
+
+
+def windows(text: str, span: int):
+    """Lists of (word, start, end): the words of text within span words of a cue, at most
+    3 * span in a list. Lists of one run overlap by span words."""
+    cues = CUE.finditer(text)
+    cue, begin = next(cues, None), 0
+    while cue is not None:
+        # far enough back for span words and one that may be cut
+        back = 16 * span
+        while (lo := max(0, cue.start() - back)) > begin and sum(1 for _ in islice(_WORD.finditer(text, lo, cue.start()), span + 2)) < span + 2:
+            back *= 2
+        run, before, left, fresh = None, deque(maxlen=span), span, False
+        for m in _WORD.finditer(text, lo):
+            if lo and m.start() <= lo + 1 and m.end() <= cue.start():
+                continue
+            word = (m[0][:WORD_CHARS].lower(), m.start(), m.end())
+            if run is None:
+                if m.end() <= cue.start():
+                    before.append(word)
+                    continue
+                run = list(before)
+                begin = run[0][1] if run else m.start()
+            while cue is not None and cue.start() < m.end():
+                cue, left = next(cues, None), span
+            run.append(word)
+            fresh = True
+            if len(run) == 3 * span:
+                yield run
+                run, fresh = run[-span:], False
+            left -= 1
+            if not left:
+                break
+        if fresh:
+            yield run
 
 
 class Scanner:
@@ -75,49 +106,54 @@ class Scanner:
         import zstandard
 
         self.plain = zstandard.ZstdCompressor(level=3)
-        self.named = [
-            (name, [w.lower() for w in _WORD.findall(t)], zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(t.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)))
-            for name, t in templates
-        ]
-
-    def ranked(self, block: str) -> list[tuple[float, int]]:
-        """(share by which a template shortens the block, template), best first."""
-        data = block.lower().encode("utf-8", "surrogatepass")
+        self.named = []
+        for name, t in templates:
+            own = words_of(t)
+            most = max(d for d in range(len(own)) if d <= MAX_DIFFERENCE * len(own))
+            # of most + 1 parts of a template one stands unchanged wherever no more than most words differ
+            cuts = [len(own) * k // (most + 1) for k in range(most + 2)]
+            parts = [f" {' '.join(own[x:y])} " for x, y in zip(cuts, cuts[1:])]
+            packed = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(" ".join(own).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+            self.named.append((name, own, most, parts, packed))
+        self.span = max(len(own) + most for _, own, most, _, _ in self.named)
+
+    def gains(self, block: str) -> list[tuple[float, int]]:
+        """(share by which a template shortens the block, template) of those that do."""
+        data = block.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(data))
-        return sorted(((1 - len(c.compress(data)) / alone, i) for i, (_, _, c) in enumerate(self.named)), key=lambda x: (-x[0], x[1]))
-
-    def differences(self, words: list[str], block: list[tuple[str, int, int]]) -> tuple[int, int, int] | None:
-        """(words that differ, start, end) where the template lies in the block."""
-        same = [m for m in SequenceMatcher(None, words, [w for w, _, _ in block], autojunk=False).get_matching_blocks() if m.size]
-        if not same:
-            return None
-        # the run of matches around the longest that costs least
-        best = max(range(len(same)), key=lambda i: same[i].size)
-        lo = hi = best
-        while lo and same[lo].b - same[lo - 1].b - same[lo - 1].size <= 3:
-            lo -= 1
-        while hi + 1 < len(same) and same[hi + 1].b - same[hi].b - same[hi].size <= 3:
-            hi += 1
-        run = same[lo : hi + 1]
-        matched = sum(m.size for m in run)
-        inserted = run[-1].b + run[-1].size - run[0].b - matched
-        return len(words) - matched + inserted, block[run[0].b][1], block[run[-1].b + run[-1].size - 1][2]
+        shares = [(1 - len(c.compress(data)) / alone, i) for i, (*_, c) in enumerate(self.named)]
+        return [x for x in shares if x[0] > 0]
+
+    def places(self, i: int, block: str, words: list[tuple[str, int, int]]):
+        """(words that differ, start, end) of the places of the words where template i lies."""
+        _, own, most, parts, _ = self.named[i]
+        if not any(p in block for p in parts):
+            return
+        # row k: (differences, first word) of the best place that ends here for the first k words of the template
+        last = [(k, 0) for k in range(len(own) + 1)]
+        for j, (word, _, end) in enumerate(words):
+            row = [(0, j + 1)]
+            for k, w in enumerate(own, 1):
+                d, at = last[k - 1] if w == word else row[k - 1] if row[k - 1][0] < last[k][0] else last[k]
+                row.append((d, at) if w == word else (d + 1, at))
+            last = row
+            if row[-1][0] <= most:
+                yield row[-1][0], words[row[-1][1]][1], end
 
     def find(self, text: str) -> list[tuple[int, int, str, int, float]]:
-        """(start, end, license, differing words, size reduction) of each block's winner."""
-        out = []
-        for start, end in blocks(text):
-            block = text[start:end]
-            words = [(m[0].lower(), start + m.start(), start + m.end()) for m in _WORD.finditer(block)]
-            won = []
-            for share, i in self.ranked(block)[:BEST]:
-                name, own, _ = self.named[i]
-                if (d := self.differences(own, words)) and d[0] <= MAX_DIFFERENCE * len(own):
-                    won.append((d[0], -len(own), i, d[1], d[2], name, share))
-            if won:
-                d, _, _, a, b, name, share = min(won)
-                out.append((a, b, name, d, round(share, 6)))
-        return out
+        """(start, end, license, differing words, size reduction) of all winners, none overlapping another."""
+        seen = []
+        for words in windows(text, self.span):
+            block = f" {' '.join(w for w, _, _ in words)} "
+            for share, i in self.gains(block):
+                seen += [(d, -len(self.named[i][1]), i, a, b, -share) for d, a, b in self.places(i, block, words)]
+        won, at = [], []
+        for d, _, i, a, b, share in sorted(seen):
+            k = bisect_left(at, a)
+            if (k == 0 or won[k - 1][1] <= a) and (k == len(won) or b <= at[k]):
+                at.insert(k, a)
+                won.insert(k, (a, b, self.named[i][0], d, round(-share, 6)))
+        return won
 
 
 OUT = "doc_id long, n_licenses long, n_exact long, licenses string, spans array<struct<start:long,end:long,license:string,differences:long,reduction:double>>"

@@ -91,6 +91,25 @@ def test_license_winners():
     assert [(f[2], f[3]) for f in found] == [("MIT", 0), ("GPL-3.0", 0)]
 
 
+def test_license_notices_wrap_and_stand_together():
+    scanner = licenses.Scanner()
+    found = lambda t: [(f[2], f[3]) for f in scanner.find(t)]
+    for name, t in licenses.TEMPLATES:
+        words = t.split()
+        for width in (1, 3, 7):
+            lines = [" ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            for sep in ("\n", "\n#  ", "\r\n * ", "\n" + " " * 900):
+                assert found("filler text\n" * 50 + sep.join(lines) + "\nmore text" * 50) == [(name, 0)], (name, width, sep)
+    both = "Licensed under the Apache License, Version 2.0. Released under the MIT License."
+    assert found(both) == [("Apache-2.0", 0), ("MIT", 0)]
+    assert found("see the license " * 300 + (both + " ") * 40 + "copyright " * 300) == [("Apache-2.0", 0), ("MIT", 0)] * 40
+    # one word of 24 is missing, and one of another is added
+    text = licenses.TEMPLATES[4][1].replace("any person", "any natural person")
+    assert found(text) == [("MIT", 1)] and scanner.find(text)[0][:2] == (0, len(text))
+    for at in range(0, 400, 7):
+        assert found("word " * at + "license " + "word " * 33 + licenses.TEMPLATES[1][1]) == [("Apache-2.0", 0)]
+
+
 def test_fingerprint(spark):
     texts = near_texts(40)
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
