@@ -309,7 +309,9 @@ def rt7_history(spark, d):
 def hb2_shard_state(spark, d):
     events = table(spark, d, "events").select(F.col("user_id").alias("shard"), F.col("ts").cast("timestamp").alias("ts"))
     now = F.lit(events.agg(F.max("ts")).first()[0])
-    every = spark.range(200).select(F.col("id").alias("shard"), (F.col("id") % 10 == 0).alias("done"), (F.col("id") % 3 == 0).cast("int").alias("parts"))
+    # planned shards, of which some have no heartbeat, and all that have one
+    ids = spark.range(200).union(events.where("shard is not null").select(F.col("shard").cast("long"))).distinct()
+    every = ids.select(F.col("id").alias("shard"), (F.col("id") % 10 == 0).alias("done"), (F.col("id") % 3 == 0).cast("int").alias("parts"))
     return monitor.shard_states(every, events, now).select("shard", "state")
 
 
