@@ -50,8 +50,9 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class WordIds(dict):
     """word -> its ids as little-endian unsigned 32-bit numbers, found when first asked for.
 
-    Lower-casing ASCII first changes nothing, as the tokenizer lower-cases after a
-    normal form that ASCII case does not touch; only special tokens must keep theirs.
+    Lower-casing a word of ASCII first changes nothing, as the tokenizer lower-cases after
+    a normal form (NFC) that leaves ASCII alone; special tokens must keep their case, and
+    so must words with other characters: some letters compose in one case only.
     Punctuation after a last letter is a token of its own, so it is encoded apart.
     """
 
@@ -90,7 +91,13 @@ class WordIds(dict):
 
     def ids(self, text: bytes) -> bytes:
         """Split at ASCII white space, which the tokenizer drops; other white space is inside words and dropped by it."""
-        return b"".join(map(self.__getitem__, (text if b"<|" in text else text.lower()).split()))
+        if b"<|" in text:
+            words = text.split()
+        elif text.isascii():
+            words = text.lower().split()
+        else:
+            words = [w.lower() if w.isascii() else w for w in text.split()]
+        return b"".join(map(self.__getitem__, words))
 
 
 def word_ids(path: str) -> WordIds:

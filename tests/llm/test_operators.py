@@ -241,6 +241,15 @@ def test_packing_exact(spark):
     assert sorted(i for b in child for i in b) == list(range(300)) and max(sum(sizes[i] for i in b) for b in child) <= 2048
 
 
+def test_packing_decomposed_letters():
+    from tokenizers import Tokenizer
+
+    t, words = Tokenizer.from_file(packing.tokenizer_path()), packing.WordIds(packing.tokenizer_path())
+    marks = "".join(map(chr, range(0x300, 0x345)))
+    for text in [a + m for a in "ABCDEFGHIJKLMNOPQRSTUVWXYZhjtwy" for m in marks] + ["The J\u030c. H\u0331EAD THE Straße CAFÉ, Cafe\u0301! don't", "J\u030c" * 50]:
+        assert words.ids(text.encode()) == np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), ascii(text)
+
+
 def test_quality_bounds(spark):
     n, k, p = 200, 3, 0.05
     from math import comb
