@@ -3,8 +3,9 @@
 Patterns find e-mail addresses, IP addresses, card and phone numbers: the protected
 entities. Over the whole corpus the words near an entity are counted with it. A term
 discloses an entity by I = log2(P(entity | term) / P(entity)); terms seen with it in at
-least SUPPORT different contexts, whose P(entity | term) and I reach the thresholds, are
-sensitive wherever they stand: GENERALISE_AT and above they are replaced by a class
+least SUPPORT different contexts, whose P(entity | term) reaches GENERALISE_AT and whose I
+reaches LEAST_DISCLOSED of the entity's own -log2(P(entity)), so that neither its frequency
+nor the size of the corpus decides, are sensitive wherever they stand: GENERALISE_AT and above they are replaced by a class
 name, REMOVE_AT and above removed. Copies of a passage are one context, so a text that
 is merely repeated discloses nothing.
 
@@ -17,6 +18,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -28,7 +31,7 @@ KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity that count as near it.
 NEAR = 5
 SUPPORT = 3
-GENERALISE_AT, REMOVE_AT, LEAST_BITS = 0.5, 0.8, 10.0
+GENERALISE_AT, REMOVE_AT, LEAST_DISCLOSED = 0.5, 0.8, 0.5
 #: Sensitive terms held by a task at once; more are searched for in further passes.
 TERMS_A_PASS = 200_000
 
@@ -86,13 +89,17 @@ def entity(text: str, span: tuple[int, int, int]) -> str:
 
 
 def contexts(text: str, spans: list[tuple[int, int, int]]):
-    """(entity, terms near it, hash of the context) of each span."""
+    """(entity, terms near it, hash of the context) of each span; spans by start."""
+    found = list(_TERM.finditer(text))
+    starts, ends = [m.start() for m in found], [m.end() for m in found]
+    begins, reach = [a for a, _, _ in spans], list(accumulate((b for _, _, b in spans), max))
+    inside = lambda at: (k := bisect_right(begins, at)) and reach[k - 1] > at
     for s in spans:
-        reach = 40 * NEAR
-        before = [(m.start(), m[0].lower()) for m in _TERM.finditer(text, max(0, s[0] - reach), s[0])][-NEAR:]
-        after = [(m.start(), m[0].lower()) for m in _TERM.finditer(text, s[2], s[2] + reach)][:NEAR]
-        near = [w for at, w in before + after if not any(a <= at < b for a, _, b in spans)]
-        context = hashlib.blake2b(" ".join(w for _, w in before + after).encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        before = bisect_right(ends, s[0])
+        after = bisect_left(starts, s[2])
+        words = [(m.start(), m[0].lower()) for m in (*found[max(0, before - NEAR) : before], *found[after : after + NEAR])]
+        near = [w for at, w in words if not inside(at)]
+        context = hashlib.blake2b(" ".join(w for _, w in words).encode("utf-8", "surrogatepass"), digest_size=8).digest()
         yield entity(text, s), near, int.from_bytes(context, "little", signed=True)
 
 
@@ -119,8 +126,9 @@ def sensitive_terms(docs: DataFrame) -> DataFrame:
     total = counts.agg(F.sum("occurs")).first()[0] or 1
     entities = near.where("term is null").groupBy("entity").agg(F.count("*").alias("seen"))
     share = F.least(F.lit(1.0), F.col("together") / F.col("occurs"))
-    scored = pairs.join(counts, "term").join(entities, "entity").withColumns({"share": share, "bits": F.log2(share / (F.col("seen") / F.lit(float(total))))})
-    return scored.where((F.col("share") >= GENERALISE_AT) & (F.col("bits") >= LEAST_BITS)).groupBy("term").agg((F.max("share") >= REMOVE_AT).alias("removed"))
+    chance = F.least(F.lit(1.0), F.col("seen") / F.lit(float(total)))
+    scored = pairs.join(counts, "term").join(entities, "entity").withColumns({"share": share, "own": -F.log2(chance), "bits": F.log2(share / chance)})
+    return scored.where((F.col("share") >= GENERALISE_AT) & (F.col("bits") >= LEAST_DISCLOSED * F.col("own"))).groupBy("term").agg((F.max("share") >= REMOVE_AT).alias("removed"))
 
 
 SPANS = "array<struct<start:long,kind:int,end:long,removed:boolean>>"

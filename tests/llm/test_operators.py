@@ -212,6 +212,23 @@ def test_pii_base_and_terms(spark):
     assert "Zaphod" not in clean[50] and "bob@x.org" not in clean[0] and "[EMAIL]" in clean[0] and clean[51] == "alpha note writes"
 
 
+def test_pii_terms_of_frequent_entities(spark):
+    filler = ["alpha", "beta", "gamma", "delta", "omega", "sigma"]
+    rows = [(i, f"{filler[i % 6]} note {filler[(i + 1) % 6]} Zaphod writes bob@x.org {filler[(i + 2) % 6]}") for i in range(6)] + [(50, "Zaphod alone"), (51, "alpha note writes")] + [(100 + i, " ".join(filler) + " note writes") for i in range(10)]
+    found = {r["doc_id"]: [s["kind"] for s in r["_spans"]] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[50] == [4] and found[51] == [] and found[0] == [4, 0] and found[100] == []
+
+
+def test_pii_contexts_are_the_nearest_words():
+    far = "." * 500
+    text = f"Ford {far} Zaphod {far} bob@x.org {far} Trillian 10.0.0.1 Arthur" + " 7" * 300 + " Marvin"
+    near = {e: w for e, w, _ in pii.contexts(text, pii.base_spans(text))}
+    assert near == {"email:bob@x.org": ["ford", "zaphod", "trillian", "arthur", "marvin"], "ip:10.0.0.1": ["ford", "zaphod", "trillian", "arthur", "marvin"]}
+    # a word is never cut
+    text = "e@x.org " + "x" * 190 + "tail " * 3
+    assert next(pii.contexts(text, pii.base_spans(text)))[1] == ["x" * 190 + "tail", "tail", "tail"]
+
+
 def test_chat_parts(spark):
     text = "</s>[INST] a &lt; <|end|> &amp;[ "
     rows = spark.createDataFrame([(1, 0, "user", text), (1, 1, "assistant", text), (1, 2, None, None), (None, 0, "assistant", "z")], "conv_id long, turn long, role string, text string")
