@@ -272,12 +272,26 @@ def op6_neardup(spark, sf_dir: str) -> DataFrame:
 
 
 def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """docs without those that another of their component stands for. Of rows that repeat
-    a doc_id all stay or go together."""
-    gone = near_components(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
+    """docs without those that another of their component stands for.
+
+    Texts that share a doc_id are judged apart: one of them has the id as its node, the
+    others have numbers behind all ids, made from id and text. Of rows that repeat id and
+    text one stays.
+    """
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    many = keep(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"), F.min(text).alias("_first")).where("_n > 1").select("doc_id", "_first"), "repeated-ids")
+    if many.isEmpty():
+        rows = docs.withColumn("_node", F.col("doc_id").cast("long")).withColumn("_first", F.lit(None).cast("long"))
+    else:
+        behind = F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+        rows = docs.join(many, "doc_id", "left").withColumn("_node", F.when(F.col("_first") != text, behind).otherwise(F.col("doc_id").cast("long")))
+    gone = near_components(rows.select(F.col("_node").alias("doc_id"), "text")).where(~F.col("kept")).select(F.col("doc_id").alias("_node")).distinct()
     gone = keep(gone, "gone")
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*docs.columns)
+    rest = rows.join(F.broadcast(gone) if few else gone, "_node", "left_anti")
+    if not many.isEmpty():
+        rest = rest.where("_first is null").unionByName(rest.where("_first is not null").dropDuplicates(["_node"]))
+    return rest.select(*docs.columns)
 
 
 #: Links by a join on shingles, components by walking them.

@@ -172,6 +172,14 @@ def test_neardup_brute_force(spark):
     assert [got[i]["component_id"] for i in range(len(texts))] == comp and [got[i]["n_shingles"] for i in range(len(texts))] == n
 
 
+def test_dedup_of_repeated_ids(spark):
+    a, b, c = near_texts(1, 120, 5)[0], near_texts(1, 120, 6)[0], near_texts(1, 120, 7)[0]
+    near = a + " tail"
+    rows = [(1, a), (2, a), (2, b), (4, near), (4, c), (5, "x y z"), (5, "x y z"), (6, None), (6, ""), (None, a), (None, a)]
+    out = neardup.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(((r["doc_id"] or 0, r["text"] or "") for r in out.collect())) == sorted([(0, a), (0, a), (1, a), (2, b), (4, c), (5, "x y z"), (6, "")])
+
+
 def test_sketch_concentrates():
     rng = np.random.default_rng(0)
     with np.errstate(over="ignore"):
