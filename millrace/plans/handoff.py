@@ -1,4 +1,4 @@
-"""The hand-off: accepted rows flattened, their members, and their accounting."""
+"""The hand-off: accepted rows split off, their members, and their accounting."""
 
 from __future__ import annotations
 
