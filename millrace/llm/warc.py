@@ -114,6 +114,41 @@ def parse_record(data, at: int):
     return end + 4, headers, start
 
 
+def inflate(data, at: int, step: int = 1 << 16):
+    """(what the gzip member at a place decompresses to, its length, why it ends early or None)."""
+    out, parts, n = zlib.decompressobj(31), [], len(data)
+    for k in range(at, n, step):
+        before = out.copy()
+        try:
+            parts.append(out.decompress(data[k : k + step]))
+        except zlib.error as e:
+            # a failed call returns nothing, so its bytes are given one by one up to the bad one
+            try:
+                for j in range(k, min(k + step, n)):
+                    parts.append(before.decompress(data[j : j + 1]))
+            except zlib.error:
+                pass
+            return b"".join(parts), 0, str(e)
+        if out.eof:
+            return b"".join(parts), min(k + step, n) - len(out.unused_data) - at, None
+    return b"".join(parts) + out.flush(), 0, "member cut short"
+
+
+def records_in(body) -> tuple[list, str]:
+    """(headers and block of all good records of a member, why others are not)."""
+    found, inner, why = [], 0, ""
+    while inner < len(body):
+        got = parse_record(body, inner)
+        if isinstance(got, str):
+            why = why or got
+            line = VERSION.search(body, inner + 1)
+            inner = line.start() if line else len(body)
+        else:
+            found.append((got[1], body[got[2] : got[0] - 4]))
+            inner = got[0]
+    return found, why
+
+
 def salvage(data):
     """("record", offset, length, headers, payload) and ("gap", offset, length, reason, b"") in order.
 
@@ -125,21 +160,23 @@ def salvage(data):
         found = []
         end = at
         if data[at : at + 3] == GZIP:
-            try:
-                out = zlib.decompressobj(31)
-                body = out.decompress(data[at:]) + out.flush()
-                if not out.eof:
-                    raise zlib.error("member cut short")
-                end, inner = n - len(out.unused_data), 0
-                while inner < len(body):
-                    got = parse_record(body, inner)
-                    if isinstance(got, str):
-                        raise zlib.error(got)
-                    found.append((got[1], body[got[2] : got[0] - 4]))
-                    inner = got[0]
-                got = None
-            except zlib.error as e:
-                got, found = str(e), []
+            body, size, got = inflate(data, at)
+            found, inside = records_in(body)
+            if got is None:
+                end, got = at + size, None if found else inside or "empty member"
+            if found and (got or inside):
+                # what the member holds besides is a gap of its own
+                if bad >= 0 and bad < at:
+                    yield "gap", bad, at - bad, why, b""
+                nxt = end if got is None else data.find(GZIP, at + 1)
+                nxt = n if nxt < 0 else nxt
+                for headers, block in found:
+                    yield "record", at, nxt - at, headers, bytes(block)
+                bad, why = (at, got) if got else (-1, "")
+                if got is None:
+                    yield "gap", at, nxt - at, inside, b""
+                at = nxt
+                continue
         else:
             got = parse_record(data, at)
             if not isinstance(got, str):

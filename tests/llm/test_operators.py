@@ -145,6 +145,18 @@ def test_warc_round_trip_and_salvage(spark, tmp_path):
     assert [x[0] for x in warc.salvage(hurt)] == ["record", "gap", "record"]
 
 
+def test_warc_salvage_inside_members():
+    import gzip
+
+    record = lambda i: f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:millrace:page:{i}>\r\nContent-Length: 2000\r\n\r\n".encode() + random.Random(i).randbytes(1000).hex().encode() + b"\r\n\r\n"
+    ids = lambda data: [x[3]["warc-record-id"][-2] if x[0] == "record" else "gap" for x in warc.salvage(data)]
+    good = [record(i) for i in range(4)]
+    whole, more = gzip.compress(b"".join(good)), gzip.compress(record(5))
+    assert ids(whole + more) == ["0", "1", "2", "3", "5"]
+    assert ids(gzip.compress(good[0] + good[1].replace(b"2000", b"1999") + good[2]) + more) == ["0", "2", "gap", "5"]
+    assert ids(whole[: len(whole) * 7 // 8]) == ["0", "1", "2", "gap"]
+
+
 def brute_components(texts):
     sets = []
     for t in texts:
