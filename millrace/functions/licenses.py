@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+from functools import reduce
+from operator import or_
 
 import pandas as pd
 from pyspark.sql import Column
@@ -24,14 +26,14 @@ def unescaped(text: pd.Series) -> pd.Series:
     return text.map(lambda t: html.unescape(t) if t and "&" in t else t)
 
 
-def license_of(text: Column, urls: Column | None = None, unescape: bool = False) -> Column:
+def license_of(text: Column, urls: Column | None = None, unescape: bool = True) -> Column:
     """struct<code, policy>: keep, skip, unknown or missing. Blocked terms come first,
     and are sought with all separators removed. Unescaping HTML is the one step that
-    needs Python; leave it out for texts that hold no entities."""
+    needs Python; switch it off for texts that hold no entities."""
     hay = F.concat_ws(" ", F.coalesce(text, F.lit("")), *([urls] if urls is not None else []))
     hay = F.lower(unescaped(hay) if unescape else hay)
     compact = F.regexp_replace(hay, "[^a-z0-9]+", "")
-    has = lambda where, words: F.regexp_like(where, F.lit("|".join(w.replace(".", r"\.") for w in words)))
+    has = lambda where, words: reduce(or_, (F.contains(where, F.lit(w)) for w in words))
     blank, blocked = F.btrim(hay, F.lit(" \t\n\r")) == "", has(compact, BLOCKED)
     code = F.when(blank | blocked, F.lit(None).cast("string"))
     for name, words in NAMED:

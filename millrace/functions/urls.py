@@ -7,7 +7,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 #: Languages asked for first, in order.
 PREFERRED = ("en", "pt", "es")
@@ -32,19 +32,21 @@ def form_encoded(text: Column) -> Column:
     return F.replace(F.replace(F.url_encode(text), F.lit("%7E"), F.lit("~")), F.lit("*"), F.lit("%2A"))
 
 
-def xml_url(url: Column, lang: Column | None = None, legacy_page: str = "/article.php", legacy_script: str = "sci_arttext", legacy_xml: str = "/articleXML.php") -> Column:
+def xml_url(url: Column, lang: Column | None, legacy: tuple[str, str, str]) -> Column:
     """Where an article's XML lies, from its final URL.
 
     Legacy pages name the article by script and pid and have a page of their own for XML;
-    all others take format=xml. Other parameters and the fragment are dropped.
+    all others take format=xml. Other parameters and the fragment are dropped. legacy: how
+    the path of a site's legacy pages ends, their script, and the path of their XML.
     """
+    legacy_page, legacy_script, legacy_xml = legacy
     known = [query_value(url, n) for n in ("lang", "tlng", "lng")]
     lang = F.coalesce(*([F.nullif(lang, F.lit(""))] if lang is not None else []), *known, F.lit("en"))
     root = F.regexp_extract(url, r"^([^?#]*?//[^/?#]*)", 1)
     path = F.regexp_extract(url, r"^[^?#]*?//[^/?#]*([^?#]*)", 1)
     pid = query_value(url, "pid")
-    legacy = path.endswith(legacy_page) & (query_value(url, "script") == legacy_script) & pid.isNotNull()
-    return F.when(legacy, F.concat(root, F.lit(legacy_xml + "?pid="), form_encoded(pid), F.lit("&lang="), form_encoded(lang))).otherwise(
+    old = path.endswith(legacy_page) & (query_value(url, "script") == legacy_script) & pid.isNotNull()
+    return F.when(F.coalesce(old, F.lit(False)), F.concat(root, F.lit(legacy_xml + "?pid="), form_encoded(pid), F.lit("&lang="), form_encoded(lang))).otherwise(
         F.concat(root, path, F.lit("?format=xml&lang="), form_encoded(lang))
     )
 
@@ -65,6 +67,12 @@ def media_member(prefix: Column, index: Column, url: Column) -> Column:
     return F.concat(prefix, F.lit("/figures/"), F.format_string("%03d", index), F.lit("-"), F.substring(F.sha2(url, 256), 1, 12), F.lit("-"), short)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def joined_urls(base: pd.Series, hrefs: pd.Series) -> pd.Series:
+    """Every one of hrefs resolved against base, the first of equal ones."""
+    return pd.Series([h if h is None or b is None else list(dict.fromkeys(urljoin(b, x) for x in h)) for b, h in zip(base, hrefs, strict=True)], dtype=object)
+
+
 @F.pandas_udf(StringType())
 def joined_url(base: pd.Series, href: pd.Series) -> pd.Series:
     """href resolved against base."""
@@ -73,10 +81,10 @@ def joined_url(base: pd.Series, href: pd.Series) -> pd.Series:
 
 def is_xml(content_type: Column, body: Column) -> Column:
     """By content type, or by how the body begins."""
-    head = F.lower(F.substring(F.ltrim(F.coalesce(body, F.lit(""))), 1, 64))
+    head = F.lower(F.substring(F.ltrim(F.coalesce(body, F.lit("")), F.lit(" \t\n\r\x0b\f")), 1, 64))
     return F.contains(F.lower(F.coalesce(content_type, F.lit(""))), F.lit("xml")) | head.startswith("<?xml") | head.startswith("<!doctype article") | head.startswith("<article")
 
 
 def is_tiff(url: Column, content_type: Column, body: Column) -> Column:
     """By extension, content type or first bytes."""
-    return F.regexp_like(F.lower(url), F.lit(r"\.tiff?($|[?#])")) | F.contains(F.lower(F.coalesce(content_type, F.lit(""))), F.lit("tif")) | F.hex(F.substring(body, 1, 4)).isin("49492A00", "4D4D002A")
+    return F.regexp_like(F.lower(url), F.lit(r"\.tiff?($|[?#])")) | F.contains(F.lower(F.coalesce(content_type, F.lit(""))), F.lit("image/tif")) | F.hex(F.substring(body, 1, 4)).isin("49492A00", "4D4D002A")

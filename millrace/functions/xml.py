@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
+#: The attribute and the elements that refer to media.
 XLINK = "{http://www.w3.org/1999/xlink}href"
 MEDIA = ("graphic", "inline-graphic", "media", "supplementary-material")
 _KINDS = {"b": BooleanType(), "s": StringType(), "n": LongType(), "a": ArrayType(StringType())}
@@ -71,6 +72,17 @@ def _parse(texts: pd.Series) -> pd.DataFrame:
 parse_xml = _parse.asNondeterministic()
 
 
+@F.pandas_udf(StringType())
+def _rewrite(texts: pd.Series, members: pd.Series, bases: pd.Series) -> pd.Series:
+    each = zip(texts, members, bases, strict=True)
+    return pd.Series([None if t is None else rewritten(t, {e["key"]: e["value"] for e in (() if m is None else m)}, b or "").decode("utf-8") for t, m, b in each], dtype=object)
+
+
+def rewrite_media(text, members, base):
+    """A column of documents with the media of members (map URL -> archive member) renamed; null stays null."""
+    return _rewrite(text, F.transform(F.map_entries(members), lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value"))), base)
+
+
 def rewritten(text: str, members: dict[str, str], base: str) -> bytes:
     """The document with the media references of downloaded URLs replaced by members."""
     from urllib.parse import urljoin
@@ -79,5 +91,7 @@ def rewritten(text: str, members: dict[str, str], base: str) -> bytes:
     root = ET.fromstring(text)
     for e in _all(root, *MEDIA):
         if (href := _href(e)) and (member := members.get(urljoin(base, href))):
-            e.set(next((k for k in (XLINK, "href", "xlink:href") if e.get(k)), XLINK), member)
+            # the namespaced attribute is written unless a plain one stands alone; another spelling of it goes
+            e.attrib.pop("xlink:href", None)
+            e.set("href" if "href" in e.attrib and XLINK not in e.attrib else XLINK, member)
     return ET.tostring(root, encoding="utf-8", xml_declaration=True)

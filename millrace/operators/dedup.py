@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def first_wins(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataFrame:
-    """The first row of each key, whole. Null keys are a key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    """The first row of each key, whole. Null keys are a key.
+
+    An aggregate with a map side: of a key that many rows share each task sends one row.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    by = F.struct(*[F.struct(F.col(o).isNotNull() if isinstance(o, str) else o.isNotNull(), F.col(o) if isinstance(o, str) else o) for o in order])
+    first = df.groupBy(*keys).agg(F.min_by(F.struct(F.lit(1), *rest), by).alias("_v"))
+    return first.select(*[F.col(c) if c in keys else F.col("_v")[c].alias(c) for c in df.columns])
 
 
 def last_wins(df: DataFrame, keys: list[str], values: list[str], order: Column | str) -> DataFrame:

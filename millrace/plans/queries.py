@@ -6,6 +6,9 @@ attempts, orders and lineitem articles and their members, conversations attempt
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -65,7 +68,8 @@ def fn7_fn9_ints_and_pads(spark, d):
 
 @query(f"SELECT policy, count(*) AS n FROM (SELECT {LIC_SQL} AS policy FROM documents) GROUP BY 1")
 def lic_policy_counts(spark, d):
-    return table(spark, d, "documents").groupBy(license_of(F.col("text"))["policy"].alias("policy")).agg(F.count("*").alias("n"))
+    # the table's texts hold no HTML entities, and SQL could not decode them
+    return table(spark, d, "documents").groupBy(license_of(F.col("text"), unescape=False)["policy"].alias("policy")).agg(F.count("*").alias("n"))
 
 
 @query(r"""SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE regexp_matches(lower(line), 'licensed under|released under')""")
@@ -91,9 +95,12 @@ def st2_ladder_by_shard(spark, d):
     label = table(spark, d, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
     docs = table(spark, d, "documents").join(label, "doc_id", "left")
     text = F.when(F.col("doc_id") % 3 == 0, F.col("text")).otherwise(F.concat("text", F.lit(" https://creativecommons.org/licenses/by/4.0/")))
+    captions = reduce(or_, (F.contains(F.lower("text"), F.lit(w)) for w in ("adapted from", "courtesy", "source:")))
+    # the policy is a column first, as the ladder names it twice
+    docs = docs.withColumns({"policy": license_of(text, unescape=False)["policy"], "captions": captions})
     status = ladder.row_status(
-        F.lit("planned_xml"), F.when(F.col("toxic") == 1, F.lit("xml_http_403")), F.coalesce(F.col("quality") == 1, F.lit(True)), license_of(text)["policy"],
-        F.regexp_like(F.lower("text"), F.lit("adapted from|courtesy|source:")), F.col("n_chars"), F.col("doc_id") % 4, F.col("doc_id") % 3,
+        F.lit("planned_xml"), F.when(F.col("toxic") == 1, F.lit("xml_http_403")), F.coalesce(F.col("quality") == 1, F.lit(True)), F.col("policy"),
+        F.col("captions"), F.col("n_chars"), F.col("doc_id") % 4, F.col("doc_id") % 3,
     )
     return docs.groupBy(ids.stable_shard(F.col("doc_id").cast("string"), 4).alias("shard"), status.alias("status")).agg(F.count("*").alias("n"))
 
@@ -121,9 +128,14 @@ def url1_choose_fulltext(spark, d):
     return pages.select("page_id", chosen["lang"].alias("lang"), chosen["url"].alias("url"))
 
 
-@query(r"SELECT page_id, concat(regexp_extract(url, '^([^?#]*?//[^/?#]*[^?#]*)', 1), '?format=xml&lang=', regexp_extract(url, '//[^/]+/([a-z][a-z])/', 1)) AS xml_url FROM pages")
+@query(r"""SELECT page_id, CASE WHEN page_id % 3 = 0 THEN concat(regexp_extract(url, '^([^?#]*?//[^/?#]*)', 1), '/getitem.php?pid=S', page_id, '&lang=pt')
+ ELSE concat(regexp_extract(url, '^([^?#]*?//[^/?#]*[^?#]*)', 1), '?format=xml&lang=', regexp_extract(url, '//[^/]+/([a-z][a-z])/', 1)) END AS xml_url FROM pages""")
 def url2_xml_url(spark, d):
-    return table(spark, d, "pages").select("page_id", urls.xml_url(F.col("url"), F.regexp_extract("url", r"//[^/]+/([a-z][a-z])/", 1)).alias("xml_url"))
+    """Every third page is taken to be a legacy one, which names its item in the query."""
+    root, old = F.regexp_extract("url", r"^([^?#]*?//[^/?#]*)", 1), F.col("page_id") % 3 == 0
+    url = F.when(old, F.concat(root, F.lit("/old/item.php?script=view&pid=S"), F.col("page_id").cast("string"), F.lit("&tlng=pt#top"))).otherwise(F.col("url"))
+    lang = F.when(~old, F.regexp_extract("url", r"//[^/]+/([a-z][a-z])/", 1))
+    return table(spark, d, "pages").select("page_id", urls.xml_url(url, lang, ("/item.php", "view", "/getitem.php")).alias("xml_url"))
 
 
 BASE_SQL = r"trim(regexp_replace(regexp_extract(regexp_replace(url, '[?#].*$', ''), '([^/]*)$', 1), '[^A-Za-z0-9._+ -]+', '_', 'g'))"
@@ -308,11 +320,11 @@ def rt7_history(spark, d):
 @query("SELECT shard, CASE WHEN shard % 10 = 0 THEN 'DONE' WHEN ts IS NULL THEN CASE WHEN shard % 3 = 0 THEN 'PARTIAL' ELSE 'MISSING' END WHEN (epoch_us(now_) - epoch_us(ts)) / 1e6 > 900 THEN 'STALE' ELSE 'ACTIVE' END AS state FROM (SELECT i AS shard FROM range(200) x(i)) LEFT JOIN (SELECT user_id AS shard, max(ts) AS ts FROM events GROUP BY 1) USING (shard), (SELECT max(ts) AS now_ FROM events)")
 def hb2_shard_state(spark, d):
     events = table(spark, d, "events").select(F.col("user_id").alias("shard"), F.col("ts").cast("timestamp").alias("ts"))
-    now = F.lit(events.agg(F.max("ts")).first()[0])
+    now = events.agg(F.max("ts").alias("now"))  # one row
     # planned shards, of which some have no heartbeat, and all that have one
     ids = spark.range(200).union(events.where("shard is not null").select(F.col("shard").cast("long"))).distinct()
     every = ids.select(F.col("id").alias("shard"), (F.col("id") % 10 == 0).alias("done"), (F.col("id") % 3 == 0).cast("int").alias("parts"))
-    return monitor.shard_states(every, events, now).select("shard", "state")
+    return monitor.shard_states(every.join(F.broadcast(now)), events, F.col("now")).select("shard", "state")
 
 
 @query("""WITH e AS (SELECT event_id, user_id, epoch_us(ts) / 1e6 - 1704067200 AS t_in FROM events), k AS (SELECT *, row_number() OVER w - 1 AS i FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t_in, event_id)),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..operators.dedup import first_wins
+
 BAD = "_corrupt_record"
 
 
@@ -23,17 +25,17 @@ def read_identifiers(spark: SparkSession, path: str) -> DataFrame:
     schema = "objects ARRAY<STRUCT<code: STRING, collection: STRING>>"
     pages = spark.read.schema(schema).option("multiLine", True).json(path).select(F.col("_metadata.file_path").alias("page"), "objects")
     rows = pages.select("page", F.posexplode("objects").alias("at", "o")).select("page", "at", F.coalesce("o.collection", F.lit("")).alias("collection"), F.col("o.code").alias("code")).where("coalesce(code, '') <> ''")
-    w = Window.partitionBy("collection", "code").orderBy("page", "at")
-    return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
+    return first_wins(rows, ["collection", "code"], ["page", "at"])
 
 
 def read_prefixes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Of each file the lines before the first bad one; a compressed file that is cut short ends there.
 
-    Lines are numbered inside their file, which the file's one task reads in order.
+    Lines are ordered by where their part of the file begins, then as its task reads them.
+    Only this read skips what is corrupt; the session's setting stays as it is.
     """
-    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
-    lines = spark.read.option("wholetext", False).text(path).select(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("line"), "value").where("trim(value) <> ''")
+    at = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.option("ignoreCorruptFiles", True).text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("line"), "value").where("trim(value) <> ''")
     full = StructType([*schema.fields, StructField(BAD, StringType())])
     rows = lines.withColumn("r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
     bad = rows.where(F.col(f"r.{BAD}").isNotNull()).groupBy("file").agg(F.min("line").alias("_bad"))

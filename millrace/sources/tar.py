@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _HEAD = [("tar_path", pa.string()), ("ordinal", pa.int64()), ("member", pa.string()), ("size", pa.int64()), ("is_file", pa.bool_())]
+#: Bytes of content, and members, that are handed on at once.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 10_000
 HEADERS = "tar_path string, ordinal long, member string, size long, is_file boolean"
 
 
@@ -24,13 +26,17 @@ def _members(payload: bool):
     def run(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                path, rows = batch.column(0)[i].as_py(), []
+                path, rows, size = batch.column(0)[i].as_py(), [], 0
                 with tarfile.open(fileobj=io.BytesIO(batch.column(1)[i].as_py()), mode="r:*") as tar:
                     for k, m in enumerate(tar):
                         row = {"tar_path": path, "ordinal": k, "member": m.name, "size": m.size, "is_file": m.isfile()}
                         if payload and m.isfile():
                             row["content"] = tar.extractfile(m).read()
+                            size += m.size
                         rows.append(row)
+                        if size > BATCH_BYTES or len(rows) >= BATCH_ROWS:
+                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                            rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return run
@@ -39,7 +45,12 @@ def _members(payload: bool):
 def read_tar(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
     """Members of all archives under path, with content if payload."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", True).load(path)
-    return files.select("path", "content").mapInArrow(_members(payload), HEADERS + ", content binary" * payload)
+    return members_of(files.select("path", "content"), payload)
+
+
+def members_of(archives: DataFrame, payload: bool = False) -> DataFrame:
+    """Members of archives (path, content)."""
+    return archives.mapInArrow(_members(payload), HEADERS + ", content binary" * payload)
 
 
 def member_sizes(members: DataFrame) -> DataFrame:

@@ -56,8 +56,8 @@ def test_urls(spark):
     assert choose('{"fr": "", "de": "u"}') == ("de", "u")
     assert choose("[]") == ("", "")
     legacy = "https://x.test/article.php?script=sci_arttext&pid=S10&tlng=es"
-    assert one(spark, urls.xml_url(F.lit(legacy))) == "https://x.test/articleXML.php?pid=S10&lang=es"
-    assert one(spark, urls.xml_url(F.lit("https://x.test/j/abc/?lang=en#f"))) == "https://x.test/j/abc/?format=xml&lang=en"
+    assert one(spark, urls.xml_url(F.lit(legacy), None, ("/article.php", "sci_arttext", "/articleXML.php"))) == "https://x.test/articleXML.php?pid=S10&lang=es"
+    assert one(spark, urls.xml_url(F.lit("https://x.test/j/abc/?lang=en#f"), None, ("/article.php", "sci_arttext", "/articleXML.php"))) == "https://x.test/j/abc/?format=xml&lang=en"
     assert one(spark, urls.url_basename(F.lit("https://x.test/img/a%20b.tif?x=1"))) == "a b.tif"
     assert one(spark, urls.joined_url(F.lit("https://x.test/j/abc/?f=1"), F.lit("../img/f1.jpg"))) == "https://x.test/j/img/f1.jpg"
 
