@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from .common import keep, release
+from .common import free_name, keep, release, slices
 
 WORDS = 5
 ROWS, BANDS = 5, 24
@@ -46,6 +46,9 @@ PERCENT = 85
 LEAST_AGREEING = int(T * 0.85 - 5.5 * (T * 0.85 * 0.15) ** 0.5)
 #: Ids that may be sent to every executor; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: A bucket of more members than this, and than this share of all memberships, is hot:
+#: there are at most 1 / HOT_SHARE hot ones, so their pivots can go to every executor.
+HOT_SIZE, HOT_SHARE = 200, 1e-5
 #: Size classes of the prefix filter: so many to a factor of e.
 SIZE_CLASSES = 50
 
@@ -57,9 +60,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
-_powers = {"n": 0}
-
-
 def _mix(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
     x = (x ^ (x >> _U(30))) * _STEPS[0]
@@ -68,28 +68,43 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers["n"] < n:
-        size = max(1 << 16, 2 * n)
-        inverse = _U(pow(int(_BASE), -1, 1 << 64))
-        up, down = np.full(size, _BASE, np.uint64), np.full(size, inverse, np.uint64)
-        up[0] = down[0] = 1
-        with np.errstate(over="ignore"):
-            _powers.update(n=size, up=np.multiply.accumulate(up), down=np.multiply.accumulate(down))
-    return _powers["up"], _powers["down"]
+    """The first n powers of the base and of its inverse."""
+    inverse = _U(pow(int(_BASE), -1, 1 << 64))
+    up, down = np.full(n, _BASE, np.uint64), np.full(n, inverse, np.uint64)
+    up[0] = down[0] = 1
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
-def shingle_hashes(text: bytes) -> np.ndarray:
-    """The sorted distinct 64-bit hashes of a text's shingles; words are hashed as polynomials of their bytes."""
+#: Bytes of a text that are hashed at once, whole words; only a longer word takes more.
+CHUNK = 1 << 16
+_UP, _DOWN = _power_tables(CHUNK + 1)
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word in order: the word as a polynomial of its lower-cased bytes."""
     raw = np.frombuffer(text, np.uint8)
-    space = _IS_SPACE[raw]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
+    edge = np.flatnonzero(np.diff(np.concatenate(([True], _IS_SPACE[raw], [True])).astype(np.int8)))
     begins, ends = edge[0::2], edge[1::2]
-    if not len(begins):
-        return np.zeros(0, np.uint64)
-    up, down = _power_tables(len(raw) + 1)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((_LOWER[raw].astype(np.uint64) + _U(1)) * up[: len(raw)], dtype=np.uint64)))
-    words = _mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(np.uint64))
+    out, at = np.zeros(len(begins), np.uint64), 0
+    while at < len(begins):
+        start = begins[at]
+        to = max(at + 1, int(np.searchsorted(ends, start + CHUNK, "right")))
+        piece = _LOWER[raw[start : ends[to - 1]]].astype(np.uint64) + _U(1)
+        up, down = (_UP, _DOWN) if len(piece) <= CHUNK else _power_tables(len(piece) + 1)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(piece * up[: len(piece)], dtype=np.uint64)))
+        a, b = begins[at:to] - start, ends[at:to] - start
+        out[at:to] = _mix((sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64))
+        at = to
+    return out
+
+
+def shingle_hashes(text: bytes) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of a text's shingles."""
+    words = word_hashes(text)
     m = len(words)
+    if not m:
+        return np.zeros(0, np.uint64)
     if m < WORDS:
         return _mix((words * _STEPS[:m]).sum(dtype=np.uint64, keepdims=True) + _U(m))
     total = words[: m - 4] * _STEPS[0]
@@ -138,7 +153,7 @@ def _texts_of(batch):
 
 def _sketch_rows(batches):
     with np.errstate(over="ignore"):
-        for batch in batches:
+        for batch in slices(batches):
             ids, ns, keys, bands, marks = [], [], [], [], []
             for doc_id, text in _texts_of(batch):
                 items = shingle_hashes(text)
@@ -156,7 +171,7 @@ def _sketch_rows(batches):
 
 def _set_rows(batches):
     with np.errstate(over="ignore"):
-        for batch in batches:
+        for batch in slices(batches):
             ids, sets, size = [], [], 0
             for doc_id, text in _texts_of(batch):
                 ids.append(doc_id)
@@ -224,16 +239,18 @@ def near_components(docs: DataFrame) -> DataFrame:
     shared = met.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     met = keep(met.join(shared, "key"), "buckets")
     central = met.groupBy("doc_id").agg(F.sum("size").alias("c"))
-    pivots = met.join(central, "doc_id").groupBy("key").agg(F.max(F.struct("c", -F.col("doc_id"), "n")).alias("p")).select("key", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("_n"))
-    pairs = met.join(pivots, "key").where((F.col("doc_id") != F.col("b")) & _sizes_allow(F.col("n"), F.col("_n"))).select(F.col("doc_id").alias("a"), "b").distinct()
-    pairs = keep(pairs, "pairs")
+    pivots = met.join(central, "doc_id").groupBy("key").agg(F.max(F.struct("c", -F.col("doc_id"), "n")).alias("p"), F.max("size").alias("size")).select("key", "size", (-F.col("p.col2")).alias("b"), F.col("p.n").alias("_n"))
+    pivots = keep(pivots, "pivots")
+    hot = max(HOT_SIZE, int(HOT_SHARE * (pivots.agg(F.sum("size")).first()[0] or 0)))
+    held = with_buckets(met, pivots, hot).where((F.col("doc_id") != F.col("b")) & _sizes_allow(F.col("n"), F.col("_n")))
+    pairs = keep(held.select(F.col("doc_id").alias("a"), "b").distinct(), "pairs")
 
     wanted = keep(met.select("doc_id").distinct(), "wanted")
     few = wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     sets = keep(rows.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi").mapInArrow(_set_rows, SETS), "sets")
     links = keep(links_of(pairs, nodes, sets), "links")
     found = keep(components(links), "components")
-    more = keep(links_between(met, found, nodes, sets), "links")
+    more = keep(links_between(met, found, nodes, sets, hot), "links")
     if not more.isEmpty():
         found = components(links.union(more))
 
@@ -242,11 +259,18 @@ def near_components(docs: DataFrame) -> DataFrame:
     return of_rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "set_key")
 
 
-def links_between(met: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+def with_buckets(met: DataFrame, buckets: DataFrame, hot: int) -> DataFrame:
+    """met (key, size, ..) joined to buckets (key, size, ..) by key. Members of buckets of more than
+    hot stay where they are and are sent those buckets' rows; the others are dealt by key."""
+    is_hot = F.col("size") > hot
+    return met.where(~is_hot).join(buckets.where(~is_hot).drop("size"), "key").unionByName(met.where(is_hot).join(F.broadcast(buckets.where(is_hot).drop("size")), "key"))  # HOT_SHARE bounds them
+
+
+def links_between(met: DataFrame, found: DataFrame, nodes: DataFrame, sets: DataFrame, hot: int) -> DataFrame:
     """All links between the components that meet in a bucket of three or more."""
-    label = met.where("size > 2").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).select("key", "doc_id", "n", "label")
-    mixed = label.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("key")
-    open_ = keep(label.join(mixed, "key", "left_semi").select("doc_id", "n", "label").distinct(), "open")
+    label = met.where("size > 2").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("component", "doc_id")).select("key", "size", "doc_id", "n", "label")
+    mixed = label.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("size").alias("size")).where("x != y").select("key", "size")
+    open_ = keep(with_buckets(label, mixed, hot).select("doc_id", "n", "label").distinct(), "open")
     items = sets.join(open_, "doc_id").select("doc_id", "n", "label", F.explode("items").alias("h"))
     across = items.groupBy("h").agg(F.count("*").alias("df"), F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("h", "df")
     # what a text shares with other components, rarest first
@@ -278,19 +302,19 @@ def dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     others have numbers behind all ids, made from id and text. Of rows that repeat id and
     text one stays.
     """
-    text = F.xxhash64(F.coalesce("text", F.lit("")))
-    many = keep(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"), F.min(text).alias("_first")).where("_n > 1").select("doc_id", "_first"), "repeated-ids")
+    node, first, text = free_name("_node", docs), free_name("_first", docs), F.xxhash64(F.coalesce("text", F.lit("")))
+    many = keep(docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("_n"), F.min(text).alias(first)).where("_n > 1").select("doc_id", first), "repeated-ids")
     if many.isEmpty():
-        rows = docs.withColumn("_node", F.col("doc_id").cast("long")).withColumn("_first", F.lit(None).cast("long"))
+        rows = docs.withColumn(node, F.col("doc_id").cast("long")).withColumn(first, F.lit(None).cast("long"))
     else:
         behind = F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-        rows = docs.join(many, "doc_id", "left").withColumn("_node", F.when(F.col("_first") != text, behind).otherwise(F.col("doc_id").cast("long")))
-    gone = near_components(rows.select(F.col("_node").alias("doc_id"), "text")).where(~F.col("kept")).select(F.col("doc_id").alias("_node")).distinct()
+        rows = docs.join(many, "doc_id", "left").withColumn(node, F.when(F.col(first) != text, behind).otherwise(F.col("doc_id").cast("long")))
+    gone = near_components(rows.select(F.col(node).alias("doc_id"), "text")).where(~F.col("kept")).select(F.col("doc_id").alias(node)).distinct()
     gone = keep(gone, "gone")
     few = gone.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    rest = rows.join(F.broadcast(gone) if few else gone, "_node", "left_anti")
+    rest = rows.join(F.broadcast(gone) if few else gone, node, "left_anti")
     if not many.isEmpty():
-        rest = rest.where("_first is null").unionByName(rest.where("_first is not null").dropDuplicates(["_node"]))
+        rest = rest.where(F.col(first).isNull()).unionByName(rest.where(F.col(first).isNotNull()).dropDuplicates([node]))
     return rest.select(*docs.columns)
 
 
