@@ -4,14 +4,15 @@ Documents become token ids; those longer than a sequence are cut into full piece
 rest. Pieces are dealt by hash into blocks of about BLOCK pieces, and several islands
 work on each block. An individual is a list of bins. Crossover injects some of a mate's
 best-filled bins whole, removes the bins that hold the same pieces, and best-fits the
-pieces this displaces, largest first; selection keeps fewer bins, then the fuller ones.
+pieces this displaces, largest first: into gaps, then into new bins that one or two pieces
+at a time fill best. Selection keeps fewer bins, then the fuller ones.
 After each epoch every island sends its elite to the next one, by a shuffle. The best
 individual of a block over its islands gives the sequences; a block ends its search when
 it needs no more sequences than its tokens fill. Full pieces stand alone.
 
-Tokens of a word depend on the word only (the tokenizer drops white space and never
-joins across it), so words are encoded once and their ids remembered, a bounded number
-in each Python worker.
+The tokenizer splits a text into words, digits and runs of signs and encodes each apart,
+so the distinct ones of a chunk of text are encoded once and their ids remembered, a
+bounded number in each Python worker.
 
 Defined results: null texts are empty, and an empty document is the end id alone;
 repeated rows are packed as often as they occur; an empty table gives no sequences.
@@ -19,6 +20,7 @@ repeated rows are packed as often as they occur; an empty table gives no sequenc
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 
@@ -28,17 +30,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, worker_store
+from .common import keep, slices, worker_store
 
 SEQUENCE = 2048
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 0
 #: Pieces of a block; islands on it, individuals on each, epochs and generations of each.
 BLOCK, ISLANDS, INDIVIDUALS, EPOCHS, GENERATIONS = 4096, 3, 3, 2, 3
-#: Words and stems whose ids a Python worker remembers, and the longest of them in bytes.
-WORDS_KEPT, STEMS_KEPT, WORD_BYTES = 250_000, 500_000, 64
-#: ASCII punctuation that is taken off a word, and the letters it may follow.
-TAIL, LETTERS = b".,;:!?*$%&#|)", frozenset(b"abcdefghijklmnopqrstuvwxyz")
+#: Units whose ids a Python worker remembers from one chunk of text to the next (some 200
+#: bytes each), and the bytes of a chunk.
+UNITS_KEPT, CHUNK = 120_000, 1 << 20
+#: The tokenizer's rule for texts up to LAST_LETTER, lower-cased; how tokens
+#: that end a word end; how special tokens begin; the letter whose lower case is two.
+_LETTER, _NUMBER, _SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", " \\t\\n\\x0b\\f\\r\u0085\u00a0"
+RULE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
+WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
+LAST_LETTER, WORD_END, SPECIAL, DOTTED = "\u017f", "</w>", "<|", "\u0130"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -48,12 +55,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 class WordIds(dict):
-    """word -> its ids as little-endian unsigned 32-bit numbers, found when first asked for.
+    """unit -> its ids as little-endian unsigned 32-bit numbers.
 
-    Lower-casing a word of ASCII first changes nothing, as the tokenizer lower-cases after
-    a normal form (NFC) that leaves ASCII alone; special tokens must keep their case, and
-    so must words with other characters: some letters compose in one case only.
-    Punctuation after a last letter is a token of its own, so it is encoded apart.
+    Units are what the tokenizer's own rule splits a text into, and are encoded apart. The
+    rule is applied here to texts of Basic Latin to Latin Extended-A, which its normal form
+    (NFC) leaves alone; other words, and those with special tokens, are units as they
+    stand. The new units of a chunk of text are learned together: a unit of letters ends
+    with the one id that ends words, so many are encoded in one call and told apart.
     """
 
     def __init__(self, path: str):
@@ -62,42 +70,53 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.stems = Tokenizer.from_file(path), {}
-
-    def encoded(self, word: bytes) -> bytes:
-        return array("I", self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids).tobytes()
-
-    def __missing__(self, word: bytes) -> bytes:
-        stem = word.rstrip(TAIL)
-        if stem and stem[-1] in LETTERS and len(stem) <= WORD_BYTES:
-            out = self.stem(stem) + (self.stem(word[len(stem) :]) if len(stem) < len(word) else b"")
-        else:
-            out = self.encoded(word)
-        if len(word) <= WORD_BYTES:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[word] = out
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def encoded(self, unit: str) -> bytes:
+        return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
+
+    def learn(self, units: set[str]) -> None:
+        plain = [u for u in units if u.isalpha() and u.islower() and max(u) <= LAST_LETTER]
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
+            if len(cuts) == len(plain) + 1:
+                data = ids.tobytes()
+                self.update((u, data[cuts[k] : cuts[k + 1]]) for k, u in enumerate(plain))
+        for u in units:
+            if u not in self:
+                self[u] = self.encoded(u)
+
+    def units(self, text: str) -> list[str]:
+        if SPECIAL not in text and (text.isascii() or max(text) <= LAST_LETTER and DOTTED not in text):
+            return RULE.findall(text.lower())
+        out = []
+        for word in WORD.findall(text):  # other white space stays inside words
+            if SPECIAL not in word and (word.isascii() or max(word) <= LAST_LETTER and DOTTED not in word):
+                out += RULE.findall(word.lower())
+            else:
+                out.append(word)
         return out
 
-    def stem(self, part: bytes) -> bytes:
-        out = self.stems.get(part)
-        if out is None:
-            if len(self.stems) >= STEMS_KEPT:
-                self.stems.clear()
-            out = self.encoded(part)
-            if len(part) <= WORD_BYTES:
-                self.stems[part] = out
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        split = [self.units(t) for t in texts]
+        every = set().union(*split)
+        if new := every - self.keys():
+            self.learn(new)
+        out = [b"".join(map(self.__getitem__, units)) for units in split]
+        if len(self) > UNITS_KEPT:
+            last = {u: self[u] for u in every}
+            self.clear()
+            if len(last) <= UNITS_KEPT:
+                self.update(last)
         return out
 
     def ids(self, text: bytes) -> bytes:
-        """Split at ASCII white space, which the tokenizer drops; other white space is inside words and dropped by it."""
-        if b"<|" in text:
-            words = text.split()
-        elif text.isascii():
-            words = text.lower().split()
-        else:
-            words = [w.lower() if w.isascii() else w for w in text.split()]
-        return b"".join(map(self.__getitem__, words))
+        return self.of([text.decode()])[0]
 
 
 def word_ids(path: str) -> WordIds:
@@ -116,17 +135,16 @@ _END = np.array([END_ID], "<u4").tobytes()
 def _pieces(path: str, sequence: int):
     def run(batches):
         words = word_ids(path)
-        for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                text = batch.column(1)[i]
-                ids = words.ids(text.as_buffer().to_pybytes() if text.is_valid else b"") + _END
-                doc_id, row = batch.column(0)[i].as_py(), batch.column(2)[i].as_py()
+        for batch in slices(batches, CHUNK):
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            out = [[] for _ in _PIECES]
+            for doc_id, row, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), words.of(texts), strict=True):
+                ids += _END
                 for k, at in enumerate(range(0, len(ids), 4 * sequence)):
                     part = ids[at : at + 4 * sequence]
-                    out.append((doc_id, row, k, at // 4, len(part) // 4, zlib.crc32(part)))
-            columns = list(zip(*out, strict=True)) or [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _PIECES, strict=True)], schema=_PIECES)
+                    for column, value in zip(out, (doc_id, row, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                        column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PIECES, strict=True)], schema=_PIECES)
 
     return run
 
@@ -180,6 +198,51 @@ def best_fit(sizes: list[int], sequence: int, order=None, whole: list[list[int]]
     return out.bins
 
 
+def best_filled(sizes: list[int], sequence: int, items: list[int], whole: list[list[int]] = ()) -> list[list[int]]:
+    """Bins that begin as whole and take items, largest first: what fits into whole bins goes
+    there by best fit, and each new bin is filled by the one or two items that leave least room."""
+    out, rest = Bins(sizes, sequence), []
+    for b in whole:
+        out.add_bin(list(b))
+    for i in sorted(items, key=lambda i: -sizes[i]):
+        if out.mask >> sizes[i]:
+            out.fit(i)
+        else:
+            rest.append(i)
+    by_size: dict[int, list[int]] = {}
+    for i in rest:
+        by_size.setdefault(sizes[i], []).append(i)
+    mask = sum(1 << s for s in by_size)
+    largest = lambda most: (mask & ((2 << most) - 1)).bit_length() - 1  # noqa: E731  size of the largest item of at most most, -1 if none
+
+    def take(size: int) -> int:
+        nonlocal mask
+        item = by_size[size].pop()
+        if not by_size[size]:
+            del by_size[size]
+            mask ^= 1 << size
+        return item
+
+    while by_size:
+        size = mask.bit_length() - 1
+        new, room = [take(size)], sequence - size
+        while (one := largest(room)) > 0:
+            best, pair = one, (one,)
+            # a pair in which the larger item falls from what fits; it ends where no pair can do better
+            a = one
+            while a > 0 and 2 * a > best and best < room:
+                b = largest(min(a, room - a))
+                if b == a and len(by_size[a]) < 2:
+                    b = largest(a - 1)
+                if b > 0 and a + b > best:
+                    best, pair = a + b, (a, b)
+                a = largest(a - 1)
+            new += [take(s) for s in pair]
+            room -= best
+        out.add_bin(new)
+    return out.bins
+
+
 def fitness(bins: list[list[int]], sizes: list[int], sequence: int) -> float:
     """Higher for fewer bins, then for bins that are fuller or emptier than the mean."""
     return -len(bins) + sum((sum(sizes[i] for i in b) / sequence) ** 2 for b in bins) / (len(bins) + 1)
@@ -201,8 +264,7 @@ def crossover(own: list[list[int]], mate: list[list[int]], sizes: list[int], seq
     kept.sort(key=lambda b: -sum(sizes[i] for i in b))
     while kept and len(displaced) < len(sizes) and sum(sizes[i] for i in kept[-1]) < 0.9 * sequence:
         displaced += kept.pop()
-    displaced.sort(key=lambda i: -sizes[i] * (1 + 0.02 * rng.random()))
-    return best_fit(sizes, sequence, displaced, [*injected, *kept])
+    return best_filled(sizes, sequence, displaced, [*injected, *kept])
 
 
 def encode(bins: list[list[int]], n: int) -> list[int]:
@@ -227,16 +289,19 @@ def _seeded(sequence: int, islands: int, individuals: int):
     def run(key, frame: pd.DataFrame) -> pd.DataFrame:
         sizes = frame.sort_values(["row", "piece"])["length"].astype(int).tolist()
         out, least = [], -(-sum(sizes) // sequence)
+        every = list(range(len(sizes)))
         first = best_fit(sizes, sequence)
+        if len(first) > least:
+            first = min(first, best_filled(sizes, sequence, every), key=len)
         if len(first) <= least:  # no search can do better
             return pd.DataFrame([(key[0], 0, sizes, [encode(first, len(sizes))])], columns=["block", "island", "sizes", "codes"])
         for island in range(islands):
-            rng, codes = np.random.default_rng([int(key[0]), island]), []
-            for k in range(individuals):
-                noise = 0.0 if k == island == 0 else 0.03
-                order = sorted(range(len(sizes)), key=lambda i: -sizes[i] * (1 + noise * rng.random()))
-                codes.append(encode(best_fit(sizes, sequence, order), len(sizes)))
-            out.append((key[0], island, sizes, codes))
+            rng, herd = np.random.default_rng([int(key[0]), island]), [first]
+            for _ in range(individuals - 1):  # a random part is packed before the rest
+                part = rng.random(len(sizes)) < rng.uniform(0.3, 0.7)
+                early = best_filled(sizes, sequence, [i for i in every if part[i]])
+                herd.append(best_filled(sizes, sequence, [i for i in every if not part[i]], early))
+            out.append((key[0], island, sizes, [encode(b, len(sizes)) for b in herd]))
         return pd.DataFrame(out, columns=["block", "island", "sizes", "codes"])
 
     return run
@@ -291,13 +356,17 @@ def _placed(sequence: int):
 
 def pack(docs: DataFrame, path: str | None = None, sequence: int = SEQUENCE, block: int = BLOCK) -> DataFrame:
     """docs (doc_id, text) as PLACED: where each piece lies in which sequence."""
-    parts = keep(pieces(docs, path or tokenizer_path(), sequence), "pieces")
+    return pack_pieces(keep(pieces(docs, path or tokenizer_path(), sequence), "pieces"), sequence, block)
+
+
+def pack_pieces(parts: DataFrame, sequence: int = SEQUENCE, block: int = BLOCK, islands: int = ISLANDS, individuals: int = INDIVIDUALS, epochs: int = EPOCHS, generations: int = GENERATIONS) -> DataFrame:
+    """PIECES, a written table, as PLACED. More islands, individuals, epochs and generations search longer."""
     full = F.col("length") == sequence
     blocks = max(1, round(parts.where(~full).count() / block))
     rest = parts.where(~full).withColumn("block", F.pmod(F.xxhash64("row", "piece"), F.lit(blocks)))
-    state = rest.select("block", "row", "piece", "length").groupBy("block").applyInPandas(_seeded(sequence, ISLANDS, INDIVIDUALS), STATE)
-    for epoch in range(EPOCHS):
-        state = state.groupBy("block", "island").applyInPandas(_evolved(sequence, ISLANDS, INDIVIDUALS, GENERATIONS, epoch), STATE)
+    state = rest.select("block", "row", "piece", "length").groupBy("block").applyInPandas(_seeded(sequence, islands, individuals), STATE)
+    for epoch in range(epochs):
+        state = state.groupBy("block", "island").applyInPandas(_evolved(sequence, islands, individuals, generations, epoch), STATE)
     state = keep(state.select("block", "codes"), "packing-islands")
     packed = rest.groupBy("block").cogroup(state.groupBy("block")).applyInPandas(_placed(sequence), PLACED)
     # a full piece is a sequence; negative numbers keep apart from the blocks'
