@@ -5,13 +5,19 @@ entities. Over the whole corpus the words near an entity are counted with it. A
 discloses an entity by I = log2(P(entity | term) / P(entity)); terms seen with it in at
 least SUPPORT different contexts, whose P(entity | term) reaches GENERALISE_AT and whose I
 reaches LEAST_DISCLOSED of the entity's own -log2(P(entity)), so that neither its frequency
-nor the size of the corpus decides, are sensitive wherever they stand: GENERALISE_AT and above they are replaced by a class
-name, REMOVE_AT and above removed. Copies of a passage are one context, so a text that
-is merely repeated discloses nothing.
+nor the size of the corpus decides, are sensitive wherever they stand. Copies of a passage
+are one context, so a text that is merely repeated discloses nothing.
+
+What becomes of a sensitive term is decided by the level above it, its class: names,
+acronyms or plain words, by how the corpus mostly writes it. Below REMOVE_AT it is
+generalised to its class, [NAME], [ACRONYM] or [WORD], if the class in its turn does not
+disclose the entity: P(entity | class), over all words of the class, is below GENERALISE_AT.
+Otherwise nothing above it is general enough and it is removed.
 
 Defined results: null texts are empty; spans are code points, end exclusive; terms never
 overlap a fixed span; overlapping fixed spans of two kinds are both reported, and
-replaced together under the first one's name; repeated rows count as rows.
+replaced together under the first one's name; repeated rows count as rows; a column of
+docs named as one of find()'s own (_spans) is replaced in its result, and kept by sanitise().
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, texts
+from .common import free_name, keep, slices, texts
 
 KINDS = ("email", "ip", "card", "phone", "term")
 #: Words on either side of an entity that count as near it.
@@ -34,6 +40,9 @@ SUPPORT = 3
 GENERALISE_AT, REMOVE_AT, LEAST_DISCLOSED = 0.5, 0.8, 0.5
 #: Sensitive terms held by a task at once; more are searched for in further passes.
 TERMS_A_PASS = 200_000
+#: Candidate terms that may be sent to every executor; more meet their counts in a shuffle.
+BROADCAST_TERMS = 200_000
+CLASSES = ("NAME", "ACRONYM", "WORD")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -105,7 +114,7 @@ def contexts(text: str, spans: list[tuple[int, int, int]]):
 
 def _near_rows(batches):
     schema = pa.schema([("entity", pa.string()), ("term", pa.string()), ("context", pa.int64())])
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for x in batch.column(0):
             text = x.as_py()
@@ -114,80 +123,123 @@ def _near_rows(batches):
         yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
 
+def word_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, class, n): how often each of terms occurs in docs (text) by the class it is
+    written as; all other words are counted together under a null term."""
+    words = docs.select(F.explode(F.split(texts("text"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
+    upper = F.upper("w") == F.col("w")
+    kind = F.when(upper & (F.length("w") > 1), CLASSES[1]).when(F.upper(F.substring("w", 1, 1)) == F.substring("w", 1, 1), CLASSES[0]).otherwise(CLASSES[2])
+    words = words.select(F.lower("w").alias("term"), kind.alias("class"))
+    known = terms.select("term", F.lit(True).alias("known"))
+    if terms.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS:
+        words = words.join(F.broadcast(known), "term", "left")  # counted: at most BROADCAST_TERMS rows
+        return words.groupBy(F.when(F.col("known"), F.col("term")).alias("term"), "class").agg(F.count("*").alias("n"))
+    counts = words.groupBy("term", "class").agg(F.count("*").alias("n")).join(known, "term", "left")
+    return counts.groupBy(F.when(F.col("known"), F.col("term")).alias("term"), "class").agg(F.sum("n").alias("n"))
+
+
 def sensitive_terms(docs: DataFrame) -> DataFrame:
-    """(term, removed) of the terms that disclose an entity, from all of docs (text)."""
+    """(term, removed, label) of the terms that disclose an entity, from all of docs (text)."""
     near = keep(docs.select(texts("text").alias("text")).mapInArrow(_near_rows, "entity string, term string, context long"), "pii-near")
     pairs = near.where("term is not null").groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("contexts")).where(F.col("contexts") >= SUPPORT)
     pairs = keep(pairs, "pii-pairs")
     if pairs.isEmpty():
-        return pairs.select("term", F.lit(True).alias("removed"))
-    words = docs.select(F.explode(F.split(F.lower(texts("text")), r"[^\p{L}]+")).alias("term")).where("term <> ''")
-    counts = words.groupBy("term").agg(F.count("*").alias("occurs"))
-    total = counts.agg(F.sum("occurs")).first()[0] or 1
+        return pairs.select("term", F.lit(True).alias("removed"), F.lit("").alias("label"))
+    counts = keep(word_counts(docs, pairs.select("term").distinct()), "pii-counts")
+    of_class = counts.groupBy("class").agg(F.sum("n").alias("of_class"))
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    occurs = counts.where("term is not null").groupBy("term").agg(F.sum("n").alias("occurs"), F.max_by("class", F.struct("n", "class")).alias("class"))
     entities = near.where("term is null").groupBy("entity").agg(F.count("*").alias("seen"))
     share = F.least(F.lit(1.0), F.col("together") / F.col("occurs"))
     chance = F.least(F.lit(1.0), F.col("seen") / F.lit(float(total)))
-    scored = pairs.join(counts, "term").join(entities, "entity").withColumns({"share": share, "own": -F.log2(chance), "bits": F.log2(share / chance)})
-    return scored.where((F.col("share") >= GENERALISE_AT) & (F.col("bits") >= LEAST_DISCLOSED * F.col("own"))).groupBy("term").agg((F.max("share") >= REMOVE_AT).alias("removed"))
+    scored = pairs.join(occurs, "term").join(entities, "entity").withColumns({"share": share, "own": -F.log2(chance), "bits": F.log2(share / chance)})
+    found = scored.where((F.col("share") >= GENERALISE_AT) & (F.col("bits") >= LEAST_DISCLOSED * F.col("own")))
+    above = found.groupBy("entity", "class").agg(F.sum("together").alias("t")).join(F.broadcast(of_class), "class").select("entity", "class", (F.col("t") / F.col("of_class")).alias("class_share"))  # as many rows as CLASSES
+    found = found.join(above, ["entity", "class"])
+    gone = (F.max("share") >= REMOVE_AT) | (F.max("class_share") >= GENERALISE_AT)
+    return found.groupBy("term").agg(gone.alias("removed"), F.first("class").alias("label"))
 
 
 SPANS = "array<struct<start:long,kind:int,end:long,removed:boolean>>"
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("removed", pa.bool_())]))
 
 
-def _finder(terms: dict[str, bool], first: bool):
-    """Adds spans to (.., text, _spans): the fixed ones in the first pass, and those of some terms."""
+def _spans_of(text: str, spans: list[dict], terms: dict, first: bool) -> list[dict]:
+    """spans with the fixed ones, in the first pass, and those of some terms."""
+    if first:
+        spans = [{"start": a, "kind": k, "end": b, "removed": False} for a, k, b in base_spans(text)]
+    if terms:
+        fixed = [(s["start"], s["end"]) for s in spans if s["kind"] < 4]
+        starts, reach = [a for a, _ in fixed], list(accumulate((b for _, b in fixed), max))
+        free = lambda a, b: not ((k := bisect_left(starts, b)) and reach[k - 1] > a)
+        spans = spans + [{"start": m.start(), "kind": 4, "end": m.end(), "removed": terms[w][0]} for m in _TERM.finditer(text) if (w := m[0].lower()) in terms and free(m.start(), m.end())]
+    return spans
+
+
+def _replaced(text: str, spans: list[dict], terms: dict) -> str:
+    parts, done = [], 0
+    for s in sorted(spans, key=lambda s: (s["start"], s["kind"])):
+        if s["start"] >= done:
+            name = terms.get(text[s["start"] : s["end"]].lower(), (False, "TERM"))[1] if s["kind"] == 4 else KINDS[s["kind"]].upper()
+            parts += [text[done : s["start"]], "" if s["removed"] else f"[{name}]"]
+        done = max(done, s["end"])
+    return "".join(parts) + text[done:] if parts else text
+
+
+def _finder(terms: dict[str, tuple[bool, str]], first: bool, spans_at: str, replace: bool = False):
+    """Adds spans to (.., text, .., spans): the fixed ones in the first pass, and those of some terms; with replace, texts are rewritten too."""
 
     def run(batches):
-        for batch in batches:
-            out = []
-            place = batch.schema.get_field_index("_spans")
-            for i in range(batch.num_rows):
-                text = batch.column(place - 1)[i].as_py()
-                spans = [{"start": a, "kind": k, "end": b, "removed": False} for a, k, b in base_spans(text)] if first else batch.column(place)[i].as_py()
-                if terms:
-                    fixed = [(s["start"], s["end"]) for s in spans if s["kind"] < 4]
-                    spans += [{"start": m.start(), "kind": 4, "end": m.end(), "removed": terms[w]} for m in _TERM.finditer(text) if (w := m[0].lower()) in terms and not any(a < m.end() and m.start() < b for a, b in fixed)]
-                out.append(spans)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:place], pa.array(out, _SPANS)], names=batch.schema.names)
+        for batch in slices(batches):
+            place, at = batch.schema.get_field_index(spans_at), batch.schema.get_field_index("text")
+            old = batch.column(at).to_pylist()
+            spans = [_spans_of(t, s, terms, first) for t, s in zip(old, batch.column(place).to_pylist(), strict=True)]
+            columns = list(batch.columns)
+            columns[place] = pa.array(spans, _SPANS)
+            if replace:
+                columns[at] = pa.array([_replaced(t, s, terms) for t, s in zip(old, spans, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return run
 
 
+def _passes(docs: DataFrame, spans_at: str, replace: bool) -> DataFrame:
+    """docs (text null as empty) after a pass for each block of terms. Where there is but one, as always below
+    TERMS_A_PASS terms, it finds and replaces at once, so that a task needs one Python worker."""
+    terms = keep(sensitive_terms(docs), "pii-terms")
+    rows = docs.withColumn("text", texts("text")).withColumn(spans_at, F.array().cast(SPANS))
+    passes = max(1, -(-terms.count() // TERMS_A_PASS))
+    for k in range(passes):
+        block = terms.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == k)
+        some = {r["term"]: (r["removed"], r["label"]) for r in block.toLocalIterator()}  # about TERMS_A_PASS
+        rows = rows.mapInArrow(_finder(some, not k, spans_at, replace and passes == 1), rows.schema)
+    return rows if passes == 1 or not replace else sanitised(rows, spans_at)
+
+
 def find(docs: DataFrame) -> DataFrame:
     """docs (with text, null as empty) and _spans: struct<start, kind, end, removed>, by start and kind."""
-    terms = sensitive_terms(docs)
-    terms = keep(terms, "pii-terms")
-    others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*others, texts("text").alias("text"), F.array().cast(SPANS).alias("_spans"))
-    passes = -(-terms.count() // TERMS_A_PASS)
-    for k in range(max(1, passes)):
-        some = {r["term"]: r["removed"] for r in terms.where(F.pmod(F.xxhash64("term"), F.lit(max(1, passes))) == k).toLocalIterator()}  # about TERMS_A_PASS
-        rows = rows.mapInArrow(_finder(some, not k), rows.schema)
+    rows = _passes(docs.drop("_spans"), "_spans", False)
     return rows.withColumn("_spans", F.array_sort("_spans"))
 
 
-def sanitised(rows: DataFrame) -> DataFrame:
+def sanitised(rows: DataFrame, spans_at: str = "_spans") -> DataFrame:
     """rows of find() with the spans in text replaced by [KIND], or removed."""
 
     def run(batches):
-        for batch in batches:
-            at, new = batch.schema.get_field_index("text"), []
-            place = batch.schema.get_field_index("_spans")
-            for text, spans in zip(batch.column(at), batch.column(place), strict=True):
-                text, parts, done = text.as_py(), [], 0
-                for s in spans.as_py():
-                    if s["start"] >= done:
-                        parts += [text[done : s["start"]], "" if s["removed"] else f"[{KINDS[s['kind']].upper()}]"]
-                    done = max(done, s["end"])
-                new.append("".join(parts) + text[done:] if parts else text)
+        for batch in slices(batches):
+            at, place = batch.schema.get_field_index("text"), batch.schema.get_field_index(spans_at)
             columns = list(batch.columns)
-            columns[at] = pa.array(new, pa.string())
+            columns[at] = pa.array([_replaced(t, s, {}) for t, s in zip(batch.column(at).to_pylist(), batch.column(place).to_pylist(), strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return rows.mapInArrow(run, rows.schema)
 
 
+def sanitise(docs: DataFrame) -> DataFrame:
+    """docs with personal data in text replaced. Columns: those of docs."""
+    return _passes(docs, free_name("_spans", docs), True).select(*docs.columns)
+
+
 def _joined(spans):
     name = F.array(*[F.lit(k) for k in KINDS])
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
@@ -200,10 +252,11 @@ def op7_pii(spark, sf_dir: str) -> DataFrame:
     return rows.select(
         "doc_id", *[of(k).alias(f"n_{KINDS[k]}") for k in range(4)],
         F.sha2(_joined(F.filter("_spans", lambda s: s["kind"] < 4)), 256).alias("base_sha256"), _joined(F.col("_spans")).alias("spans"),
+        F.size("_spans").cast("long").alias("n_spans"),
     )
 
 
 def pii_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs with personal data replaced in text, and n_chars of the new text."""
-    out = sanitised(find(docs)).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    out = sanitise(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
