@@ -11,7 +11,7 @@ without any table of all shards. Rows are then ordered at random inside each sha
 Defined results: null texts have size 0; a null source is a source of its own, last in
 order; sources without words get target 0; repeated rows count as rows; documents of
 size 0 are placed but take no words; an empty table gives an empty mix. Extra columns
-pass through.
+pass through; mix() replaces those named as its own, mixed_rows() keeps them all.
 """
 
 from __future__ import annotations
@@ -30,10 +30,16 @@ from .common import keep, n_words_of, texts
 MAX_SOURCES = 100_000
 MAX_REPEATS = 3
 SHARD_WORDS = 1_000_000
+#: Rows of blocks that may be sent to every executor; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 #: Documents of a block in small sources; large ones have about sqrt(n) in each.
 BLOCK_DOCS = 64
 
 
+#: Names that mix() uses and drops from docs beforehand.
+OWN = ("_size", "_src", "_row", "_block", "_draws", "_in", "_source_size", "_target")
+
+
 def fill_targets(sizes: Sequence[int], weights: Sequence[float], cap: float = MAX_REPEATS, share: float = 1.0) -> list[float]:
     """Shares of sum(sizes) by weight, none above cap times its size.
 
@@ -55,20 +61,29 @@ def fill_targets(sizes: Sequence[int], weights: Sequence[float], cap: float = MA
     return out
 
 
-def split_quota(quota: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first draw, number of draws) of each source for one leaf of the splitting tree."""
-    lo, hi, first, rest = 0, shards, np.zeros_like(quota), quota.copy()
-    while hi - lo > 1:
+def split_range(quota: np.ndarray, shards: int, begin: int, end: int, seed: int):
+    """(shard, first draw, number of draws of each source) of the leaves begin to end of the
+    splitting tree. Only nodes above them are visited, each once."""
+    open_ = [(0, shards, np.zeros_like(quota), quota)]
+    while open_:
+        lo, hi, first, rest = open_.pop()
+        if hi - lo == 1:
+            yield lo, first, rest
+            continue
         mid = (lo + hi) // 2
         n = int(rest.sum())
         to_left = n * (mid - lo) // (hi - lo)
         rng = np.random.default_rng([seed, lo, hi])
         left = rng.multivariate_hypergeometric(rest, to_left, method="marginals") if n else np.zeros_like(rest)
-        if shard < mid:
-            rest, hi = left, mid
-        else:
-            first, rest, lo = first + left, rest - left, mid
-    return first, rest
+        if end > mid:
+            open_.append((mid, hi, first + left, rest - left))
+        if begin < mid:
+            open_.append((lo, mid, first, left))
+
+
+def split_quota(quota: np.ndarray, shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first draw, number of draws) of each source for one leaf of the splitting tree."""
+    return next(split_range(quota, shards, shard, shard + 1, seed))[1:]
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str = "source", text: str = "text", key: str = "doc_id", seed: int = 17, cap: int = MAX_REPEATS, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -76,7 +91,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
     one for each time the mix takes the row. weights repeat over the sources in code
     point order, null last.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.drop(*OWN)
     rows = docs.withColumns(
         {
             "_size": n_words_of(texts(text)),
@@ -109,7 +124,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
         .withColumn("_pos", F.row_number().over(per_pass) - 1)
         .withColumn("_before", F.sum("_words").over(per_pass.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_words"))
         .where((F.col("_pass") < F.col("_whole")) | (F.col("_before") < F.col("_rest")))
-        .withColumn("_limit", F.when(F.col("_pass") == F.col("_whole"), F.col("_rest") - F.col("_before")))
+        .withColumn("_limit", F.when((F.col("_pass") == F.col("_whole")) & (F.col("_before") + F.col("_words") > F.col("_rest")), F.col("_rest") - F.col("_before")))
     )
     in_order = Window.partitionBy("_src").orderBy("_pass", "_pos")
     draws = keep(draws.withColumn("_draw", F.row_number().over(in_order) - 1).select("_src", "_ix", "_block", "_pass", "_limit", "_draw"), "mix-draws")
@@ -120,8 +135,10 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
 
     def leaves(batches):
         for ids in batches:
-            for k in ids["id"]:
-                first, n = split_quota(quota, shards, int(k), seed)
+            if not len(ids):
+                continue
+            # a task's shards follow one another
+            for k, first, n in split_range(quota, shards, int(ids["id"].min()), int(ids["id"].max()) + 1, seed):
                 has = np.flatnonzero(n)
                 yield pd.DataFrame({"_ix": has.astype("int32"), "_first": first[has], "_last": first[has] + n[has] - 1, "_shard": np.full(len(has), k, "int64")})
 
@@ -135,18 +152,27 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
         .groupBy("_src", "_block")
         .agg(F.array_sort(F.collect_list(F.struct(F.col("_pass").alias("pass"), F.col("_shard").alias("shard"), F.col("_limit").alias("limit")))).alias("_draws"))
     )
-    # of the block that a source's last pass ends in: documents in order while they fit, then twice the largest that still does
+    taken = keep(taken, "mix-taken")
+    # of the block that a source's last pass ends in: documents in order while they fit, then twice the largest that
+    # still does. One block of each source ends so, and only the sizes of its rows are sorted; equal rows go together
+    limited = taken.select("_src", "_block", F.array_max(F.transform("_draws", lambda d: d["limit"])).alias("_limit")).where("_limit is not null")
+    small = rows.select("_src", "_block", "_row", "_size").join(F.broadcast(limited), ["_src", "_block"])  # MAX_SOURCES rows at most
+    small = small.groupBy("_src", "_block", "_row").agg(F.sum("_size").alias("_size"), F.first("_limit").alias("_limit"))
     block = Window.partitionBy("_src", "_block")
-    in_order = block.orderBy(F.xxhash64(F.lit(seed + 1), "_row"), "_row", "_size").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("_upto", F.sum("_size").over(in_order)).join(taken, ["_src", "_block"], "left")
-    placed = placed.withColumn("_limit", F.array_max(F.transform("_draws", lambda d: d["limit"])))
-    placed = placed.withColumn("_in", F.coalesce(F.col("_upto") <= F.col("_limit"), F.lit(False)))
+    in_order = block.orderBy(F.xxhash64(F.lit(seed + 1), "_row"), "_row").rowsBetween(Window.unboundedPreceding, 0)
+    small = small.withColumn("_in", F.sum("_size").over(in_order) <= F.col("_limit"))
     for _ in range(2):
-        placed = placed.withColumn("_gap", F.col("_limit") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("_size"))).over(block), F.lit(0)))
-        placed = placed.withColumn("_fits", F.coalesce(~F.col("_in") & (F.col("_size") > 0) & (F.col("_size") <= F.col("_gap")), F.lit(False)))
+        small = small.withColumn("_gap", F.col("_limit") - F.coalesce(F.sum(F.when(F.col("_in"), F.col("_size"))).over(block), F.lit(0)))
+        small = small.withColumn("_fits", ~F.col("_in") & (F.col("_size") > 0) & (F.col("_size") <= F.col("_gap")))
         largest = F.row_number().over(block.orderBy(F.desc("_fits"), F.desc("_size"), "_row"))
-        placed = placed.withColumn("_in", F.col("_in") | (F.col("_fits") & (largest == 1)))
-    own = F.filter("_draws", lambda d: d["limit"].isNull() | F.col("_in"))
+        small = small.withColumn("_in", F.col("_in") | (F.col("_fits") & (largest == 1)))
+    last = keep(small.where("_in").select("_src", "_block", "_row", F.lit(True).alias("_in")), "mix-last")
+
+    # blocks and last rows are small beside the documents: those stay where they are while the others' number allows
+    sent = lambda df, n: F.broadcast(df) if n <= BROADCAST_ROWS else df
+    placed = rows.join(sent(taken, sum(blocks_of.values())), ["_src", "_block"], "left")
+    placed = placed.join(sent(last, last.limit(BROADCAST_ROWS + 1).count()), ["_src", "_block", "_row"], "left")
+    own = F.filter("_draws", lambda d: d["limit"].isNull() | F.coalesce(F.col("_in"), F.lit(False)))
     return (
         placed.withColumn("_draws", F.transform(F.coalesce(own, F.array()), lambda d: F.struct(d["pass"].alias("pass"), d["shard"].alias("shard"))))
         .join(plan_df.select("_src", "_source_size", "_target"), "_src")
@@ -156,12 +182,14 @@ def mix(docs: DataFrame, weights: Sequence[float] = (1, 2, 3), *, source: str =
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row for each time a document is taken, dealt to output shards
-    and in random order inside each. Columns: those of docs."""
-    seed = options.get("seed", 17)
-    rows = mix(docs, **options).withColumn("_d", F.explode("_draws"))
+    and in random order inside each. Columns: those of docs, whatever their names."""
+    seed, names = options.get("seed", 17), docs.columns
+    plain = {c: f"c{i}" for i, c in enumerate(names)}
+    options |= {k: plain[options.get(k, v)] for k, v in (("source", "source"), ("text", "text"), ("key", "doc_id"))}
+    rows = mix(docs.toDF(*plain.values()), **options).withColumn("_d", F.explode("_draws"))
     return (
         rows.repartition("_d.shard").sortWithinPartitions("_d.shard", F.xxhash64(F.lit(seed + 2), "_d.pass", "_row"), "_row")
-        .select(*docs.columns)
+        .select(*plain.values()).toDF(*names)
     )
 
 
