@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import let, running_sums, texts
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 ESCAPES = (("&", "&amp;"), ("<", "&lt;"), ("[", "&lsqb;"))
@@ -80,7 +80,7 @@ def format_chat(turns: DataFrame, parts: str = "parts") -> DataFrame:
     end = F.col("_to") - len(END)
     mask = F.when(F.col("role") == LEARNED_ROLE, F.struct((end - F.length("_content")).alias("start"), end.alias("end")))
     each = F.struct("_n", F.col("_piece").alias("piece"), mask.alias("mask"), F.transform("_held", lambda a: F.struct(F.col("turn"), a["place"].alias("place"), a["kind"].alias("kind"), a["ref"].alias("ref"), a["tokens"].alias("tokens"))).alias("held"))
-    packed = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(each), lambda a, b: a["_n"] - b["_n"]).alias("_all"))
+    packed = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(each)).alias("_all"))
     out = packed.select(
         "conv_id",
         F.concat_ws("", F.col("_all.piece")).alias("formatted"),
@@ -98,19 +98,22 @@ def read_turns(formatted: Column) -> Column:
 
 
 def learned_texts(formatted: Column, mask: Column) -> Column:
-    """What lies under the mask, unescaped. Pieces are met in order beside their mask, so
-    that no mask entry walks the conversation from its start."""
+    """What lies under the mask, unescaped, in order. Turns and mask entries are sorted by
+    where they end, so that each entry stands behind its turn and none is searched for."""
     pieces = F.filter(F.split(formatted, r"<\|end\|>"), lambda p: p != "")
-    ends = F.aggregate(
-        pieces, F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("at"), F.lit(0).alias("m")),
-        lambda a, p: F.struct(
-            F.when(F.get(mask, a["m"])["end"] == a["at"] + F.length(p), F.concat(a["out"], F.array(unescape(F.substr(p, (F.get(mask, a["m"])["start"] - a["at"] + 1).cast("int")))))).otherwise(a["out"]).alias("out"),
-            (a["at"] + F.length(p) + len(END)).alias("at"),
-            F.when(F.get(mask, a["m"])["end"] == a["at"] + F.length(p), a["m"] + 1).otherwise(a["m"]).alias("m"),
-        ),
-        lambda a: a["out"],
-    )
-    return ends
+    zero, one = F.lit(0), F.lit(1)
+
+    def met(ps: Column) -> Column:
+        ends = running_sums(F.transform(ps, lambda p: (F.length(p) + len(END)).cast("long")))
+        turns = F.zip_with(ps, ends, lambda p, e: F.struct((e - len(END)).alias("end"), zero.alias("tag"), (e - len(END) - F.length(p)).alias("at"), p.alias("text")))
+        marks = F.transform(mask, lambda m: F.struct(m["end"].alias("end"), one.alias("tag"), m["start"].alias("at"), F.lit("").alias("text")))
+        return let(F.array_sort(F.concat(turns, marks)), told)
+
+    def told(every: Column) -> Column:
+        said = lambda a, b: F.when((a["tag"] == 0) & (b["tag"] == 1) & (a["end"] == b["end"]), unescape(F.substr(a["text"], (b["at"] - a["at"] + 1).cast("int"))))
+        return F.filter(F.zip_with(F.slice(every, 1, F.size(every) - 1), F.slice(every, 2, F.size(every)), said), lambda t: t.isNotNull())
+
+    return let(pieces, lambda ps: F.when(F.size(ps) > 0, met(ps)).otherwise(F.array().cast("array<string>")))
 
 
 #: The conversation that op8 adds: control strings of a known template inside texts.

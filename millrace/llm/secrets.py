@@ -2,8 +2,9 @@
 
 Fixed patterns find assignments, access keys and long hex strings. Beyond them every
 run of 20 or more key characters is scored by two first-order character models, one of
-random strings and one of ordinary identifiers, trained from labelled samples: the sum
-over its character pairs of log P(pair | random) - log P(pair | identifier). Runs whose
+random strings and one of ordinary identifiers, trained from labelled samples (words of
+good documents as code joins them; what the fixed patterns find in labelled documents, and
+generated keys): the sum over its character pairs of log P(pair | random) - log P(pair | identifier). Runs whose
 total and mean pass the thresholds and that touch no fixed span are added as "random".
 
 Main path: DataFrame functions only. The trained model is ALPHABET squared numbers.
@@ -19,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import let, running_max, running_sums, texts
 
 #: Kind, pattern (letters of keywords in either case), least length.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -38,13 +39,14 @@ LEAST_TOTAL, LEAST_MEAN = 12.0, 0.35
 BACK_OFF = 8.0
 #: The samples are bounded: labelled documents read, and strings made of each kind.
 SAMPLE_DOCS, SAMPLE_STRINGS = 2_000, 20_000
+LEAST_SAMPLE = 16
 
 
 def identifier_samples(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_DOCS) -> DataFrame:
     """(value, random = 0): words of n good labelled documents, alone and joined as code joins them."""
     good = labels.where("quality = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     words = F.regexp_extract_all(texts("text"), F.lit("[A-Za-z]{3,}"), F.lit(0))
-    some = docs.join(F.broadcast(good), "doc_id").select(F.slice(words, 1, 400).alias("_w"))  # n rows at most
+    some = docs.join(F.broadcast(good), "doc_id").select(words.alias("_w"))  # n rows at most, whole texts
     at = F.sequence(F.lit(0), F.greatest(F.size("_w") - 3, F.lit(0)))
     w = lambda i: F.coalesce(F.get(F.col("_w"), i), F.lit("x"))
     number = lambda i: F.pmod(F.hash(w(i)), F.lit(1000)).cast("string")
@@ -61,6 +63,20 @@ def identifier_samples(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_DOCS)
     return some.select(F.explode(forms).alias("value"), F.lit(0).alias("random"))
 
 
+def found_samples(docs: DataFrame, labels: DataFrame, n: int = SAMPLE_DOCS) -> DataFrame:
+    """(value, random = 1): what the fixed patterns find in n labelled documents; of
+    assignments only values with digits among LEAST_SAMPLE characters or more, as others may be words."""
+    some = labels.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    of = lambda p, group=0: F.regexp_extract_all(texts("text"), F.lit(p), F.lit(group))
+    values = F.filter(of(ASSIGN, 2), lambda v: (F.length(v) >= LEAST_SAMPLE) & F.regexp_like(v, F.lit("[0-9]")))
+    return docs.join(F.broadcast(some), "doc_id").select(F.explode(F.concat(values, of(ACCESS), of(HEX))).alias("value"), F.lit(1).alias("random"))  # n rows at most
+
+
+def samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """All training samples: (value, random)."""
+    return identifier_samples(docs, labels).unionByName(found_samples(docs, labels)).unionByName(random_samples(docs.sparkSession))
+
+
 def random_samples(spark, n: int = SAMPLE_STRINGS) -> DataFrame:
     """(value, random = 1): n strings each of base 64, hex and letters with digits."""
     raw = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
@@ -69,8 +85,14 @@ def random_samples(spark, n: int = SAMPLE_STRINGS) -> DataFrame:
     return spark.range(n).select(F.explode(kinds).alias("value"), F.lit(1).alias("random"))
 
 
-def _code(text: Column, i: Column) -> Column:
-    return F.instr(F.lit(ALPHABET), F.substr(text, i, F.lit(1)))
+def _codes(text: Column) -> Column:
+    """The place of each character of a text in ALPHABET, 0 for others; the text is split once."""
+    return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.instr(F.lit(ALPHABET), c))
+
+
+def _pairs(text: Column, use) -> Column:
+    """use(a, b) of the codes of each two neighbours, the first after 0."""
+    return let(_codes(text), lambda c: F.zip_with(F.concat(F.array(F.lit(0)), F.slice(c, 1, F.size(c) - 1)), c, use))
 
 
 def train(samples: DataFrame) -> list[float]:
@@ -80,7 +102,7 @@ def train(samples: DataFrame) -> list[float]:
     weighs as much as BACK_OFF pairs: a pair whose first character was never seen says
     what its second one says.
     """
-    pairs = F.transform(F.sequence(F.lit(0), F.length("value") - 1), lambda i: F.struct(F.when(i == 0, F.lit(0)).otherwise(F.instr(F.lit(ALPHABET), F.substr(F.col("value"), i, F.lit(1)))).alias("a"), _code(F.col("value"), i + 1).alias("b")))
+    pairs = _pairs(F.col("value"), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
     counts = samples.where(F.length("value") > 0).select("random", F.inline(pairs)).groupBy("a", "b").agg(F.count_if(F.col("random") == 1).alias("r"), F.count_if(F.col("random") == 0).alias("w"))
     rows = {(x["a"], x["b"]): (x["r"], x["w"]) for x in counts.toLocalIterator()}  # _K squared at most
     alone = []
@@ -97,25 +119,38 @@ def train(samples: DataFrame) -> list[float]:
 
 
 def log_ratio(value: Column, model: list[float]) -> Column:
-    """How much likelier a string is under the random model."""
+    """How much likelier a string (not empty) is under the random model."""
     weights = F.lit(model)
-    step = lambda s, i: F.struct((s["t"] + F.get(weights, s["a"] * _K + _code(value, i))).alias("t"), _code(value, i).alias("a"))
-    return F.aggregate(F.sequence(F.lit(1), F.length(value)), F.struct(F.lit(0.0).alias("t"), F.lit(0).alias("a")), step, lambda s: s["t"])
+    return F.aggregate(_pairs(value, lambda a, b: F.get(weights, a * _K + b)), F.lit(0.0), lambda t, w: t + w)
+
+
+SPANS = "array<struct<start:bigint,kind:int,end:bigint,text:string>>"
+
+
+def _spans(text: str, pattern: str, order: int, good=None) -> Column:
+    """array<struct<start, kind, end, text>> of a pattern's matches in a column, in one pass over them:
+    a match begins where the gaps and matches before it end."""
+    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g).cast("long"))
+
+    def placed(m: Column) -> Column:
+        before = F.concat(F.array(F.lit(0).cast("long")), F.transform(F.slice(m, 1, F.size(m) - 1), lambda t: F.length(t).cast("long")))
+        starts = running_sums(F.zip_with(F.slice(gaps, 1, F.size(m)), before, lambda g, b: g + b))
+        return F.zip_with(starts, m, lambda s, t: F.struct(s.alias("start"), F.lit(order).alias("kind"), (s + F.length(t)).alias("end"), t.alias("text")))
 
+    spans = let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda m: F.when(F.size(m) > 0, placed(m)).otherwise(F.array().cast(SPANS)))
+    return F.filter(spans, lambda s: good(s["text"])) if good else spans
 
-def _spans(matches: str, gaps: str, order: int, good=None) -> Column:
-    """array<struct<start, kind, end, text>> from a pattern's matches and the lengths between them."""
-    m, g = F.col(matches), F.col(gaps)
-    start = F.struct(F.array().cast("array<struct<start:int,kind:int,end:int,text:string>>").alias("out"), F.lit(0).alias("at"))
 
-    def add(a: Column, i: Column) -> Column:
-        begin = a["at"] + F.get(g, i)
-        text = F.get(m, i)
-        end = begin + F.length(text)
-        one = F.array(F.struct(begin.alias("start"), F.lit(order).alias("kind"), end.alias("end"), text.alias("text")))
-        return F.struct(F.when(good(text) if good else F.lit(True), F.concat(a["out"], one)).otherwise(a["out"]).alias("out"), end.alias("at"))
+def _apart(base: str, runs: str) -> Column:
+    """Those of runs that overlap no span of base: in order of start, none before one ends
+    after its start and none after one starts before its end."""
+    def pick(every: Column) -> Column:
+        ends = running_max(F.transform(every, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(F.lit(-1).cast("long"))))
+        starts = F.reverse(running_max(F.reverse(F.transform(every, lambda s: F.when(s["kind"] < 3, -s["start"]).otherwise(F.lit(-(1 << 62)))))))
+        each = F.zip_with(F.zip_with(every, ends, lambda s, e: F.struct(s.alias("s"), e.alias("e"))), starts, lambda x, b: F.struct(x["s"].alias("s"), x["e"].alias("e"), (-b).alias("b")))
+        return F.transform(F.filter(each, lambda x: (x["s"]["kind"] == 3) & (x["e"] <= x["s"]["start"]) & (x["b"] >= x["s"]["end"])), lambda x: x["s"])
 
-    return F.when(F.size(m) > 0, F.aggregate(F.sequence(F.lit(0), F.size(m) - 1), start, add, lambda a: a["out"])).otherwise(F.array().cast("array<struct<start:int,kind:int,end:int,text:string>>"))
+    return F.when(F.size(base) == 0, F.col(runs)).when(F.size(runs) == 0, F.col(runs)).otherwise(let(F.array_sort(F.concat(base, runs)), pick))
 
 
 def _joined(spans: Column) -> Column:
@@ -126,24 +161,19 @@ def _joined(spans: Column) -> Column:
 def scan(docs: DataFrame, model: list[float]) -> DataFrame:
     """doc_id, base and all: arrays of struct<start, kind, end, text>, in order."""
     rows = docs.select("doc_id", texts("text").alias("_t"))
-    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "random": RUN}
-    rows = rows.withColumns({f"_m_{k}": F.regexp_extract_all("_t", F.lit(p), F.lit(0)) for k, p in patterns.items()})
-    rows = rows.select("doc_id", *[f"_m_{k}" for k in KINDS], *[F.when(F.size(f"_m_{k}") > 0, F.transform(F.split("_t", p, -1), F.length)).alias(f"_g_{k}") for k, p in patterns.items()])
     long_value = lambda t: F.length(F.regexp_extract(t, ASSIGN, 2)) >= LEAST_VALUE
-    base = F.array_sort(F.concat(_spans("_m_assign", "_g_assign", 0, long_value), _spans("_m_access", "_g_access", 1), _spans("_m_hex", "_g_hex", 2)))
-    rows = rows.select("doc_id", base.alias("base"), _spans("_m_random", "_g_random", 3).alias("_runs"))
-    apart = F.filter("_runs", lambda r: ~F.exists("base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])))
-    rows = rows.withColumn("_runs", apart)
+    base = F.array_sort(F.concat(_spans("_t", ASSIGN, 0, long_value), _spans("_t", ACCESS, 1), _spans("_t", HEX, 2)))
+    rows = rows.select("doc_id", base.alias("base"), _spans("_t", RUN, 3).alias("_runs"))
+    rows = rows.select("doc_id", "base", _apart("base", "_runs").alias("_runs"))
     scored = F.transform("_runs", lambda r: F.struct(r.alias("r"), log_ratio(r["text"], model).alias("score")))
-    rows = rows.withColumn("_scored", scored)
-    random = F.transform(F.filter("_scored", lambda s: (s["score"] >= LEAST_TOTAL) & (s["score"] >= LEAST_MEAN * F.length(s["r"]["text"]))), lambda s: s["r"])
+    random = F.transform(F.filter(scored, lambda s: (s["score"] >= LEAST_TOTAL) & (s["score"] >= LEAST_MEAN * F.length(s["r"]["text"]))), lambda s: s["r"])
     return rows.select("doc_id", "base", F.array_sort(F.concat("base", random)).alias("all"))
 
 
 def op2_secrets(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    model = train(identifier_samples(docs, labels).unionByName(random_samples(spark)))
+    model = train(samples(docs, labels))
     of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
     return scan(docs, model).select(
         "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
