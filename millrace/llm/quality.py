@@ -1,17 +1,22 @@
 """Quality rules with risk-controlled thresholds.
 
 Rules score a text (share of symbols, of repeated windows, of duplicate lines, length
-of words). A rule rejects what lies beyond its cutoff, and the cutoff
-is chosen per stratum from a fixed grid: labelled good documents show how many it would
-wrongly reject, and only a cutoff whose exact binomial tail P(Bin(n, limit) <= rejected)
-is at most confidence / (rules * strata) is certified. A rule's cutoffs are tested as a
-fixed sequence from lax to strict that stops at the first failure, so the grid costs no
-correction, and with the stated confidence every certified cutoff of every stratum keeps
-its false rejections under its limit at once (Bonferroni over strata and rules). The
-limit of a stratum is shared by its rules. One half of the labelled documents, by a hash of the id, decides which
-rules separate bad from good and which certified cutoff rejects most of the bad; the
-other half, the holdout, certifies. All of this is DataFrame expressions; labels join
-narrow counts, never texts.
+of words). A rule rejects what lies beyond its cutoff, and the cutoff is chosen per
+stratum from a fixed grid. One third of the labelled documents, by a hash of the id, is
+for choosing; the others, the holdout, certify:
+
+- Choosing: of each rule the cutoff that gains most, the share of bad documents it rejects
+  less COST times that of good ones. The rules of a stratum that gain LEAST_GAIN or more
+  are ranked by it, and as many are taken as the size of its holdout could certify at all.
+- Certifying: the m rules taken share the stratum's limit and confidence. A cutoff is
+  certified if its exact binomial tail P(Bin(n, limit / m) <= wrongly rejected) is at most
+  confidence / (m * strata). A rule's grid is tested as a fixed sequence from lax to strict
+  that stops at the first failure, so the grid costs no correction, and with the stated
+  confidence all strata keep their false rejections under the limit at once (Bonferroni
+  over strata and rules taken). What is chosen depends on the first third and on sizes only.
+- Of a rule's certified cutoffs the one that gains most is used.
+
+All of this is DataFrame expressions; labels join narrow counts, never texts.
 
 Defined results: null texts have no words and fail; null languages form a stratum of
 their own; strata without enough labels get no cutoffs and keep what passes the base
@@ -23,11 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, keep, texts, words_of
+from .common import SPACES, free_name, keep, texts, words_of
 
 #: False rejections allowed among the good documents of a stratum, all rules together.
 LIMIT = 0.05
 CONFIDENCE = 0.05
+#: What the share of good documents that a cutoff rejects counts against that of bad ones, and the least gain of a rule.
+COST, LEAST_GAIN = 2.0, 0.01
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 #: Rule -> (score of the counts, cutoffs from strict to lax). A text is rejected above.
@@ -94,14 +101,11 @@ def binomial_tail(n: Column, k: Column, p: Column) -> Column:
 
 
 def cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang", limit: float = LIMIT, confidence: float = CONFIDENCE) -> DataFrame:
-    """(_stratum, _rule, _cutoff): for each stratum and rule the certified cutoff that
-    rejects most of the bad documents, where one does.
-
-    A certified cutoff is also used only if it rejects a larger share of the bad than of
-    the good. Strata times rules rows; strata are languages, or another bounded column.
-    """
+    """(_stratum, _rule, _cutoff): for each stratum and rule taken the certified cutoff that
+    gains most, where one does. Strata times rules rows; strata are languages, or another
+    bounded column."""
     label = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_good"))
-    seen = counts.where(~base_failed()).join(label, "doc_id").withColumn("_held", F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0)
+    seen = counts.where(~base_failed()).join(label, "doc_id").withColumn("_held", F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0)
     # every row is counted into a fixed set of sums before anything is shuffled
     names = [(r, float(c)) for r, (_, cs) in RULES.items() for c in cs]
     good, bad, held = F.col("_good") == 1, F.col("_good") == 0, F.col("_held")
@@ -114,12 +118,23 @@ def cutoffs(counts: DataFrame, labels: DataFrame, stratum: str = "lang", limit:
     sums = sums.withColumn("_strata", F.count("*").over(Window.partitionBy()))
     tests = F.array(*[F.struct(F.lit(r).alias("_rule"), F.lit(c).alias("_cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("b"), F.col(f"g{i}").alias("g")) for i, (r, c) in enumerate(names)])
     each = sums.select("_stratum", "n", "n_bad", "n_good", "_strata", F.inline(tests))
-    tail = binomial_tail(F.col("n"), F.col("k"), F.lit(limit / len(RULES)))
-    passed = (F.col("n") > 0) & (tail <= confidence / (len(RULES) * F.col("_strata")))
+    gain = F.col("b") / F.greatest("n_bad", F.lit(1)) - COST * F.col("g") / F.greatest("n_good", F.lit(1))
+    each = each.withColumn("_gain", gain)
+
+    # chosen on the first third: rules by their best gain, as many as n good documents without one false rejection would certify
+    within = F.when(F.col("g") <= limit * F.col("n_good"), F.col("_gain"))
+    best = each.groupBy("_stratum", "_rule", "n", "_strata").agg(F.max(within).alias("_best")).where(F.col("_best") >= LEAST_GAIN)
+    best = best.withColumn("_rank", F.row_number().over(Window.partitionBy("_stratum").orderBy(F.desc("_best"), "_rule")))
+    needed = F.log(confidence / (F.col("_rank") * F.col("_strata"))) / F.log(1 - limit / F.col("_rank"))
+    best = best.withColumn("_m", F.max(F.when(F.col("n") >= needed, F.col("_rank"))).over(Window.partitionBy("_stratum")))
+    taken = best.where(F.col("_rank") <= F.col("_m")).select(F.col("_stratum").alias("_s"), F.col("_rule").alias("_r"), "_m")
+
+    tried = each.join(taken, each["_stratum"].eqNullSafe(taken["_s"]) & (each["_rule"] == taken["_r"]))
+    tail = binomial_tail(F.col("n"), F.col("k"), limit / F.col("_m"))
+    passed = tail <= confidence / (F.col("_m") * F.col("_strata"))
     laxer = Window.partitionBy("_stratum", "_rule").orderBy(F.desc("_cutoff")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    certified = each.withColumn("_passed", passed).withColumn("_sure", F.min("_passed").over(laxer)).where("_sure")
-    sure = certified.where(F.col("b") * F.greatest("n_good", F.lit(1)) > F.col("g") * F.greatest("n_bad", F.lit(1)))
-    return sure.groupBy("_stratum", "_rule").agg(F.min_by("_cutoff", F.struct(-F.col("b"), -F.col("_cutoff"))).alias("_cutoff"))
+    sure = tried.withColumn("_passed", passed).withColumn("_sure", F.min("_passed").over(laxer)).where(F.col("_sure") & (F.col("_gain") > 0))
+    return sure.groupBy("_stratum", "_rule").agg(F.max_by("_cutoff", F.struct("_gain", "_cutoff")).alias("_cutoff"))
 
 
 def judge(counts: DataFrame, labels: DataFrame, stratum: str = "lang", **options) -> DataFrame:
@@ -149,7 +164,8 @@ def op10_quality(spark, sf_dir: str) -> DataFrame:
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs without those the rules reject; a row's verdict rests on its own text."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    rows = docs.withColumn("_row", F.xxhash64("text"))
-    counts = text_counts(rows.select("doc_id", "text", "lang", "_row"), "doc_id", "lang", "_row")
-    gone = judge(counts, labels).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("_row").alias("_r"))
-    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["_id"]) & (rows["_row"] == gone["_r"]), "left_anti").select(*docs.columns)
+    row = free_name("_row", docs)
+    rows = docs.withColumn(row, F.xxhash64("text"))
+    counts = text_counts(rows.select("doc_id", "text", "lang", F.col(row).alias("_row")), "doc_id", "lang", "_row")
+    gone = judge(counts, labels).where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("_row").alias("_gone_row"))
+    return rows.join(gone, rows["doc_id"].eqNullSafe(gone["_gone_id"]) & (rows[row] == gone["_gone_row"]), "left_anti").select(*docs.columns)
