@@ -4,7 +4,8 @@ Words around cues of licensing, on whatever lines they stand, are candidate wind
 longest template's words on either side of every cue, so no notice is cut. Each window is
 compressed plainly and with every license template as a zstandard raw dictionary; every
 template that shortens it is confirmed word by word wherever it lies in the window. Of all
-places that overlap the best stays: fewest differences of wording, then the longer template.
+places that overlap the best stays: most words of a template, less DIFFERENCE_COSTS for each
+that differs, so that a whole text is preferred to a notice inside it.
 
 Defined results: null texts are empty; a text without licenses has an empty list; words
 alone are compared, so line ends, white space and comment signs between them do not
@@ -22,7 +23,16 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Names and notices of public licenses, as their stewards word them.
+from .common import slices
+
+#: Names, notices and texts of public licenses, as their stewards word them.
+BSD_HEAD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+BSD_TAIL = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+GNU_NOTICE = """you can redistribute it and/or modify it under the terms of the GNU {0} Public License as published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version.
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} Public License for more details."""
 TEMPLATES = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
     ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
@@ -49,11 +59,31 @@ TEMPLATES = (
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0"),
     ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0"),
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0"),
+    ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSD-2-Clause", f"{BSD_HEAD} {BSD_TAIL}"),
+    ("BSD-3-Clause", f"{BSD_HEAD} {BSD_THIRD} {BSD_TAIL}"),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
+    ("GPL-2.0-or-later", GNU_NOTICE.format("General", "2")),
+    ("GPL-3.0-or-later", GNU_NOTICE.format("General", "3")),
+    ("LGPL-2.1-or-later", GNU_NOTICE.format("Lesser General", "2.1")),
+    ("LGPL-3.0-or-later", GNU_NOTICE.format("Lesser General", "3")),
+    ("AGPL-3.0-or-later", GNU_NOTICE.format("Affero General", "3")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("Unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."""),
+    ("Zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"""),
 )
 #: Words of a cue may stand on different lines.
-CUE = re.compile(r"licen[cs]|copyright|creative[\W_]+commons|public[\W_]+domain|hereby[\W_]+granted|redistribution[\W_]+and[\W_]+use|\bcc[\W_]*(?:by|0)\b", re.IGNORECASE)
+CUE = re.compile(r"licen[cs]|copyright|creative[\W_]+commons|public[\W_]+domain|hereby[\W_]+granted|redistribution[\W_]+and[\W_]+use|permission[\W_]+is[\W_]+granted|\bcc[\W_]*(?:by|0)\b", re.IGNORECASE)
 #: Share of a template's words that may differ.
 MAX_DIFFERENCE = 0.1
+DIFFERENCE_COSTS = 3
 #: Code points of a word that are compared; words of templates are shorter.
 WORD_CHARS = 64
 
@@ -146,9 +176,9 @@ class Scanner:
         for words in windows(text, self.span):
             block = f" {' '.join(w for w, _, _ in words)} "
             for share, i in self.gains(block):
-                seen += [(d, -len(self.named[i][1]), i, a, b, -share) for d, a, b in self.places(i, block, words)]
+                seen += [(DIFFERENCE_COSTS * d - len(self.named[i][1]), d, i, a, b, -share) for d, a, b in self.places(i, block, words)]
         won, at = [], []
-        for d, _, i, a, b, share in sorted(seen):
+        for _, d, i, a, b, share in sorted(seen):
             k = bisect_left(at, a)
             if (k == 0 or won[k - 1][1] <= a) and (k == len(won) or b <= at[k]):
                 at.insert(k, a)
@@ -163,7 +193,7 @@ _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_licenses", pa.int64()), ("n_exa
 
 def _scan(batches):
     scanner = Scanner()
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for i in range(batch.num_rows):
             found = scanner.find(batch.column(1)[i].as_py() or "")
