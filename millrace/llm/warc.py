@@ -9,7 +9,11 @@ Reading. Each archive is read by one task, record by record; a record counts onl
 header parses, its length fits, its end is right and its digest holds. After a failed
 check the reader searches for the next version line, or in compressed archives the next
 gzip member, that passes all checks, recovers from there on, and logs the bytes between
-as a quarantined gap. Archives are bounded by RECORDS_A_FILE.
+as a quarantined gap. Gaps are a table of their own; the log says how many there are, and
+how many records are missing.
+
+Archives are bounded by ARCHIVE_BYTES, or one record where that is longer: pages are
+written by classes of size, each with as many records to a file as its longest allow.
 
 Defined results: null html is empty; null page ids are written as such and come back
 null, and are responses unless another page has the payload; rows that repeat a page_id
@@ -19,6 +23,7 @@ and payload are all responses or revisits alike; an empty table gives no archive
 from __future__ import annotations
 
 import hashlib
+import logging
 import re
 import zlib
 
@@ -29,21 +34,30 @@ from pyspark.sql import functions as F
 from .common import keep, new_path, texts
 
 LEAST_REVISIT = 100
-RECORDS_A_FILE = 5_000
+#: Bytes of an archive; upper bounds of the classes of payloads, the last open; what a record has besides its payload.
+ARCHIVE_BYTES, CLASSES, RECORD_BYTES = 64 << 20, (16 << 10, 256 << 10, 4 << 20), 4 << 10
 CRLF = "\r\n"
 VERSION = re.compile(rb"WARC/1\.[01]\r\n")
 GZIP = b"\x1f\x8b\x08"
+#: A header is not longer, so broken ones are not searched to the archive's end.
+HEADER_BYTES = 32 << 10
 #: Fields that a record must have.
 REQUIRED = ("warc-type", "warc-record-id")
 
 
-def revisits(pages: DataFrame) -> DataFrame:
-    """(_page, _digest, _first): pages whose payload an earlier page has."""
+def size_class(n_bytes):
+    """The class of a payload, as a column."""
+    return sum((F.when(n_bytes > most, 1).otherwise(0) for most in CLASSES), F.lit(0))
+
+
+def revisits(pages: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(_page, _digest, _first) of the pages whose payload an earlier page has, and the classes of size that occur."""
     html = F.encode(texts("html"), "UTF-8")
-    seen = pages.select(F.col("page_id").alias("_page"), F.sha2(html, 256).alias("_digest"), F.octet_length(html).alias("_bytes")).where(F.col("_bytes") >= LEAST_REVISIT).select("_page", "_digest")
+    seen = pages.select(F.col("page_id").alias("_page"), F.sha2(html, 256).alias("_digest"), F.octet_length(html).alias("_bytes")).where(F.col("_bytes") >= LEAST_REVISIT).select("_page", "_digest", size_class(F.col("_bytes")).alias("_class"))
     seen = keep(seen, "warc-digests")
     many = seen.groupBy("_digest").agg(F.min("_page").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return keep(seen.join(many, "_digest").where(~F.col("_page").eqNullSafe(F.col("_first"))).select("_page", "_digest", "_first").distinct(), "warc-revisits")
+    classes = sorted({0, *(r["_class"] for r in seen.select("_class").distinct().collect())})  # as many rows as classes
+    return keep(seen.join(many, "_digest").where(~F.col("_page").eqNullSafe(F.col("_first"))).select("_page", "_digest", "_first").distinct(), "warc-revisits"), classes
 
 
 def record_text(page_id, url, html, digest, first):
@@ -76,20 +90,23 @@ def write_archives(pages: DataFrame, path: str) -> None:
     The list of revisits is a written table, so Spark knows its size: it is broadcast
     below the session's threshold and joined by a shuffle beyond it.
     """
-    again = revisits(pages)
+    again, classes = revisits(pages)
     rows = pages.select(F.col("page_id"), F.col("url"), texts("html").alias("html"))
     rows = rows.withColumn("_sha", F.sha2(F.encode("html", "UTF-8"), 256))
     rows = rows.join(again, rows["page_id"].eqNullSafe(again["_page"]) & (rows["_sha"] == again["_digest"]), "left")
     text = record_text(F.col("page_id"), F.col("url"), F.col("html"), F.col("_sha"), F.col("_first"))
     # the separator is the two line ends that close every record
-    rows.select(text.alias("value")).write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", RECORDS_A_FILE).text(path)
+    for c in classes:
+        own = rows if len(classes) == 1 else rows.where(size_class(F.octet_length("html")) == c)
+        records = max(1, ARCHIVE_BYTES // (CLASSES[c] + RECORD_BYTES)) if c < len(CLASSES) else 1
+        own.select(text.alias("value")).write.mode("append").option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records).text(path)
 
 
 def parse_record(data, at: int):
     """(end, headers, start of block) of a record that passes all checks, else the reason it does not."""
     if not VERSION.match(data, at):
         return "no version line"
-    head = data.find(b"\r\n\r\n", at)
+    head = data.find(b"\r\n\r\n", at, at + HEADER_BYTES)
     if head < 0:
         return "header without end"
     headers = {}
@@ -154,7 +171,7 @@ def salvage(data):
 
     Offsets in compressed archives are those of the members.
     """
-    at, bad, why = 0, -1, ""
+    at, bad, why, member = 0, -1, "", 0
     n = len(data)
     while at < n:
         found = []
@@ -184,8 +201,10 @@ def salvage(data):
         if isinstance(got, str):
             if bad < 0:
                 bad, why = at, got
-            line, member = VERSION.search(data, at + 1), data.find(GZIP, at + 1)
-            at = min([x for x in (line.start() if line else -1, member) if x >= 0], default=n)
+            line = VERSION.search(data, at + 1)
+            if member <= at:  # else it is the next one still
+                member = data.find(GZIP, at + 1) % (n + 1)  # n where there is none
+            at = min(line.start() if line else n, member)
             continue
         if bad >= 0:
             yield "gap", bad, at - bad, why, b""
@@ -197,6 +216,7 @@ def salvage(data):
         yield "gap", bad, n - bad, why, b""
 
 
+_log = logging.getLogger(__name__)
 OUT = "path string, kind string, offset long, length long, reason string, page_id long, record_type string, refers_to long, url string, payload_digest string, payload_bytes long, payload binary"
 _SCHEMA = pa.schema([("path", pa.string()), ("kind", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("reason", pa.string()), ("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("url", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
 _URN = re.compile(r"<urn:millrace:page:(-?\d+)>")
@@ -240,11 +260,28 @@ def read_archives(spark, path: str) -> DataFrame:
     return files.select("path", "content").mapInArrow(_read, OUT)
 
 
+def recover(spark, path: str, expected: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(records without payloads, gaps) of the archives under path, both written tables.
+
+    expected: how many records there should be; what is missing, and gaps, are logged as warnings.
+    """
+    rows = keep(read_archives(spark, path).drop("payload"), "warc-read")
+    records, gaps = rows.where("kind = 'record'"), rows.where("kind = 'gap'").select("path", "offset", "length", "reason")
+    found = rows.agg(F.count_if(F.col("kind") == "record").alias("records"), F.count_if(F.col("kind") == "gap").alias("gaps"), F.sum(F.when(F.col("kind") == "gap", F.col("length"))).alias("bytes")).first()
+    if found["gaps"]:
+        gaps = keep(gaps, "warc-quarantine")
+        _log.warning("%d gaps of %d bytes are quarantined in %s", found["gaps"], found["bytes"], gaps._millrace_path)
+    if expected is not None and found["records"] < expected:
+        _log.warning("%d of %d records are missing", expected - found["records"], expected)
+    return records, gaps
+
+
 def op5_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
     path = new_path(spark, "archives")
     write_archives(pages, path)
-    return read_archives(spark, path).where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    records, _ = recover(spark, path, pages.count())
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 OP5_SQL = """
