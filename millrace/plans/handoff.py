@@ -114,7 +114,8 @@ def volumes(totals: DataFrame) -> DataFrame:
 def members(rows: DataFrame) -> DataFrame:
     """source_id, tar_path, kind, member: XML, provenance, then good figures."""
     one = lambda kind, member: F.struct(F.lit(kind).alias("kind"), member.alias("member"))
-    every = F.concat(F.array(one("xml", F.col("xml_member")), one("source", F.col("source_member"))), F.transform(ok_figures(F.col("figures")), lambda f: one("figure", f["member"])))
+    figures = F.transform(ok_figures(F.col("figures")), lambda f: one("figure", f["member"]))
+    every = F.concat(F.array(one("xml", F.col("xml_member")), one("source", F.col("source_member"))), F.coalesce(figures, F.filter(F.array(one("", F.lit(""))), lambda _: F.lit(False))))
     return rows.select("source_id", "tar_path", F.inline(every))
 
 
