@@ -196,12 +196,24 @@ def _sizes_allow(a, b):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def salted_join(pairs: DataFrame, rows: DataFrame, key: str, counted: DataFrame, hot: int) -> DataFrame:
+    """pairs (a, b, ..) joined to rows by key. What more than hot pairs of counted, a written
+    table, ask for is sent in as many copies as parts of hot pairs, so that no task gets all."""
+    heavy = counted.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select(key, F.ceil(F.col("_n") / hot).alias("_parts"))
+    heavy = F.broadcast(heavy)  # HOT_SHARE bounds them
+    left = pairs.join(heavy, key, "left").withColumn("_part", F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64("a", "b"), F.col("_parts"))).otherwise(F.lit(0))).drop("_parts")
+    right = rows.join(heavy, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1).cast("long")) - 1))).drop("_parts")
+    return left.join(right, [key, "_part"]).drop("_part")
+
+
 def links_of(pairs: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) whose full sets reach the threshold."""
+    """Those of pairs (a, b), a written table, whose full sets reach the threshold."""
+    hot = max(HOT_SIZE, int(HOT_SHARE * pairs.count()))
     mark = lambda x: sketches.select(F.col("doc_id").alias(x), F.col("marks").alias(f"_m{x}"))
-    near = pairs.join(mark("b"), "b").join(mark("a"), "a").where(_agreeing("_ma", "_mb") >= LEAST_AGREEING).select("a", "b")
+    near = salted_join(salted_join(pairs, mark("b"), "b", pairs, hot), mark("a"), "a", pairs, hot)
+    near = keep(near.where(_agreeing("_ma", "_mb") >= LEAST_AGREEING).select("a", "b"), "near-pairs")
     full = lambda x: sets.select(F.col("doc_id").alias(x), F.col("items").alias(f"_s{x}"))
-    both = near.join(full("a"), "a").join(full("b"), "b").withColumn("_i", F.size(F.array_intersect("_sa", "_sb")))
+    both = salted_join(salted_join(near, full("a"), "a", near, hot), full("b"), "b", near, hot).withColumn("_i", F.size(F.array_intersect("_sa", "_sb")))
     return both.where(100 * F.col("_i") >= PERCENT * (F.size("_sa") + F.size("_sb") - F.col("_i"))).select("a", "b").distinct()
 
 
@@ -287,7 +299,7 @@ def links_between(met: DataFrame, found: DataFrame, nodes: DataFrame, sets: Data
     larger = larger.where(F.col("c") >= need(floor)).select(F.col("doc_id").alias("b"), F.col("n").alias("_n"), F.col("label").alias("_l"), "s", F.explode(head(need(floor))).alias("h"))
     smaller = keep(smaller, "prefixes")
     pairs = smaller.join(larger, ["h", "s"]).where((F.col("label") != F.col("_l")) & (F.col("n") <= F.col("_n")) & _sizes_allow(F.col("n"), F.col("_n"))).select(F.greatest("doc_id", "b").alias("a"), F.least("doc_id", "b").alias("b")).distinct()
-    return links_of(pairs, nodes, sets)
+    return links_of(keep(pairs, "pairs"), nodes, sets)
 
 
 def op6_neardup(spark, sf_dir: str) -> DataFrame:

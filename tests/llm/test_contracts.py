@@ -440,3 +440,14 @@ def test_pipeline_stages_of_odd_tables(spark, odd, tmp_path):
         if name == "personal data":
             kept = {r["doc_id"]: r for r in stage(spark, odd, str(tmp_path)).collect()}
             assert kept[7]["text"].endswith("mail [EMAIL]") and kept[7]["n_chars"] == len(kept[7]["text"])
+
+
+def test_neardup_with_hot_keys(spark, monkeypatch):
+    """As nearly all buckets and pivots count as hot, their members stay in place and joins are salted: the result is that of brute force."""
+    from .test_operators import brute_components, near_texts
+
+    monkeypatch.setattr(neardup, "HOT_SIZE", 3)
+    texts = [t for s in range(3) for t in near_texts(60, 50 + 30 * s, s)] + [""]
+    comp, n = brute_components(texts)
+    got = {r["doc_id"]: r for r in neardup.near_components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i]["component_id"] for i in range(len(texts))] == comp and [got[i]["n_shingles"] for i in range(len(texts))] == n
