@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,11 +15,28 @@ from ..sources.shared import delete, new_path
 SPACES = " \t\n\u000b\u000c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 
+#: Rows that Spark sends to a Python worker at once while a table is written.
+BATCH_ROWS = 1_000
+
+
+@contextmanager
+def small_batches(spark):
+    """Bounds the memory of tasks that hand whole texts to Python; the session's setting is put back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again: a cut of the
     lineage that outlives executors."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._millrace_path = path
     return out

@@ -39,13 +39,14 @@ END_ID = 0
 BLOCK, ISLANDS, INDIVIDUALS, EPOCHS, GENERATIONS = 4096, 3, 3, 2, 3
 #: Units whose ids a Python worker remembers from one chunk of text to the next (some 200
 #: bytes each), and the bytes of a chunk.
-UNITS_KEPT, CHUNK = 120_000, 1 << 20
-#: The tokenizer's rule for texts up to LAST_LETTER, lower-cased; how tokens
-#: that end a word end; how special tokens begin; the letter whose lower case is two.
+UNITS_KEPT, CHUNK = 200_000, 1 << 20
+#: The tokenizer's rule for lower-cased texts up to Latin Extended-A; how tokens
+#: that end a word end; how special tokens begin.
 _LETTER, _NUMBER, _SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", " \\t\\n\\x0b\\f\\r\u0085\u00a0"
 RULE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
-LAST_LETTER, WORD_END, SPECIAL, DOTTED = "\u017f", "</w>", "<|", "\u0130"
+#: What the rule is not for: all beyond Latin Extended-A, and the letter whose lower case is two.
+FOREIGN, WORD_END, SPECIAL = re.compile("[^\x00-\u012f\u0131-\u017f]"), "</w>", "<|"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -68,9 +69,12 @@ class WordIds(dict):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.again = Tokenizer.from_file(path), set()
+        # for units of lower-case ASCII letters, which no normal form or byte coding changes
+        self.lean = Tokenizer(self.tokenizer.model)
+        self.lean.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -79,9 +83,12 @@ class WordIds(dict):
         return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
 
     def learn(self, units: set[str]) -> None:
-        plain = [u for u in units if u.isalpha() and u.islower() and max(u) <= LAST_LETTER]
-        if plain:
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+        ascii_ = [u for u in units if u.isascii() and u.isalpha()]
+        latin = [u for u in units if not u.isascii() and u.isalpha() and u.islower() and not FOREIGN.search(u)]
+        for tokenizer, plain in ((self.lean, ascii_), (self.tokenizer, latin)):
+            if not plain:
+                continue
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
             cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
             if len(cuts) == len(plain) + 1:
                 data = ids.tobytes()
@@ -91,11 +98,11 @@ class WordIds(dict):
                 self[u] = self.encoded(u)
 
     def units(self, text: str) -> list[str]:
-        if SPECIAL not in text and (text.isascii() or max(text) <= LAST_LETTER and DOTTED not in text):
+        if SPECIAL not in text and (text.isascii() or not FOREIGN.search(text)):
             return RULE.findall(text.lower())
         out = []
         for word in WORD.findall(text):  # other white space stays inside words
-            if SPECIAL not in word and (word.isascii() or max(word) <= LAST_LETTER and DOTTED not in word):
+            if SPECIAL not in word and (word.isascii() or not FOREIGN.search(word)):
                 out += RULE.findall(word.lower())
             else:
                 out.append(word)
@@ -107,12 +114,14 @@ class WordIds(dict):
         every = set().union(*split)
         if new := every - self.keys():
             self.learn(new)
+        self.again |= every - new
         out = [b"".join(map(self.__getitem__, units)) for units in split]
-        if len(self) > UNITS_KEPT:
-            last = {u: self[u] for u in every}
+        if len(self) > UNITS_KEPT:  # those stay that were met again since the last time
+            stay = self.again if len(self.again) <= UNITS_KEPT * 3 // 4 else self.again & every
+            last = {u: self[u] for u in stay}
             self.clear()
-            if len(last) <= UNITS_KEPT:
-                self.update(last)
+            self.update(last if len(last) <= UNITS_KEPT * 3 // 4 else {})
+            self.again = set()
         return out
 
     def ids(self, text: bytes) -> bytes:
