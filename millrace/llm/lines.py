@@ -152,7 +152,7 @@ _SENT = pa.schema([("shard", pa.int64()), ("kind", pa.int32()), ("block", pa.int
 SENT = "shard bigint, kind int, block bigint, packed binary"
 
 
-def _send(shards: int):
+def _send(shards: int, most: int):
     """(block, id, text), by block, as entries (kind 0) and probes (kind 1) of each block for each shard."""
 
     def packed(block: int, digests: list[bytes], ids: list[int]):
@@ -176,7 +176,7 @@ def _send(shards: int):
         for batch in batches:
             columns = [batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.binary())]
             for at, doc, text in zip(*columns, strict=True):
-                if digests and (at != block or len(digests) >= MERGE_ENTRIES):
+                if digests and (at != block or len(digests) >= most):
                     yield packed(block, digests, ids)
                     digests, ids = [], []
                 found = {h for h in _hashes(text.as_py())[1] if h is not None}
@@ -192,8 +192,12 @@ def _send(shards: int):
 _ANSWERED = pa.schema([("block", pa.int64()), ("packed", pa.binary())])
 
 
-def _answer(batches):
+def _answer(most: int):
     """What blocks sent, by shard and entries first, as the answers to each block: its keys that several documents hold."""
+    return lambda batches: _answers(batches, most)
+
+
+def _answers(batches, most: int):
     shard, index, parts, held = None, None, [], 0
     for batch in batches:
         out = []
@@ -203,7 +207,7 @@ def _answer(batches):
             if kind == 0:
                 parts.append(np.frombuffer(packed, ENTRY))
                 held += len(parts[-1])
-                if held >= MERGE_ENTRIES and len(parts) > 1:
+                if held >= most and len(parts) > 1:
                     parts = [merged(np.concatenate(parts))]
                     held = 0  # counted anew, so that merging stays in proportion to what comes in
                 continue
@@ -259,8 +263,8 @@ def drop_shared_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id
     place = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`")), F.lit(blocks))
     # one shuffle of the texts: what is sent and what is applied both read it
     dealt = docs.withColumn(block, place).repartition(block)
-    sent = dealt.sortWithinPartitions(block).select(block, F.col(f"`{doc_id}`").cast("long").alias("doc_id"), texts(F.col(f"`{text}`")).alias("text")).mapInArrow(_send(shards), SENT)
-    answers = sent.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_answer, f"`{block}` bigint, packed binary")
+    sent = dealt.sortWithinPartitions(block).select(block, F.col(f"`{doc_id}`").cast("long").alias("doc_id"), texts(F.col(f"`{text}`")).alias("text")).mapInArrow(_send(shards, MERGE_ENTRIES), SENT)
+    answers = sent.repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(_answer(MERGE_ENTRIES), f"`{block}` bigint, packed binary")
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields], "n_lines bigint, n_dropped bigint"])
     return dealt.groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(_apply(columns, text, doc_id), schema)
 

@@ -112,7 +112,7 @@ def test_hot_lines_are_probed_once_a_block(spark, monkeypatch):
     blocks, shards = lines.sizes(docs, "text")
     assert blocks > 5
     dealt = docs.withColumn("b", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))).repartition("b").sortWithinPartitions("b").select("b", "doc_id", "text")
-    sent = dealt.mapInArrow(lines._send(shards), lines.SENT).where("kind = 1").agg(F.sum(F.length("packed"))).first()[0]
+    sent = dealt.mapInArrow(lines._send(shards, 1 << 19), lines.SENT).where("kind = 1").agg(F.sum(F.length("packed"))).first()[0]
     assert sent == 16 * (20_000 + blocks)
 
 
