@@ -120,13 +120,13 @@ def src6_newest_part(spark, d):
 
 
 def archives(spark, d):
-    """A thousand archives of the lines of orders; lines repeat the names of earlier ones."""
+    """A thousand archives of the lines of orders, written and listed; lines repeat the names of earlier ones."""
     content = F.encode(F.repeat(F.lit("x"), F.col("l_quantity").cast("int")), "UTF-8")
     member = F.concat((F.col("l_orderkey") % 4000).cast("string"), F.lit("/"), F.col("l_linenumber").cast("string"))
-    ordinal = F.col("l_orderkey") * 10 + F.col("l_linenumber")
     lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("l_quantity"))
-    rows = lines.select(F.concat(F.lit("t"), (F.col("l_orderkey") % 1000).cast("string")).alias("tar_path"), ordinal.alias("ordinal"), member.alias("member"), content.alias("content"))
-    return tar.members_of(tar.tar_bytes(rows).withColumnRenamed("tar_path", "path"))
+    path = new_path(spark, "archives")
+    tar.write_tar(lines.select(F.format_string("t%d.tar", F.col("l_orderkey") % 1000).alias("tar_path"), "l_orderkey", "l_linenumber", member.alias("member"), content.alias("content")), path, order=("l_orderkey", "l_linenumber"))
+    return tar.read_tar(spark, path).withColumn("tar_path", F.regexp_replace("tar_path", r"\.tar$", ""))
 
 
 LINES_SQL = "SELECT concat('t', l_orderkey % 1000) AS tar_path, concat(l_orderkey % 4000, '/', l_linenumber) AS member, CAST(l_quantity AS BIGINT) AS size, l_orderkey * 10 + l_linenumber AS pos FROM (SELECT l_orderkey, l_linenumber, max(l_quantity) AS l_quantity FROM lineitem GROUP BY ALL)"
@@ -142,6 +142,21 @@ def dd7_member_once(spark, d):
     return first_wins(archives(spark, d).select("tar_path", "member", "size", "ordinal"), ["tar_path", "member"], ["ordinal"]).drop("ordinal")
 
 
+@query("""SELECT concat('shard-', doc_id % 8, '/sub-', doc_id % 3, '.tar') AS tar_path, row_number() OVER (PARTITION BY doc_id % 8, doc_id % 3 ORDER BY doc_id, m) - 1 AS ordinal, concat(doc_id, '/', m) AS member,
+ CASE m WHEN 0 THEN sha256(concat('{', doc_id, '}')) ELSE sha256(coalesce(text, '')) END AS sha256 FROM documents, range(2) x(m) WHERE doc_id % 11 > 0""")
+def snk4_assembled_archives(spark, d):
+    """Archives assembled from the members of planned rows, in row order, and read back with their contents; every eleventh row has none."""
+    k, n = F.col("doc_id"), F.col("doc_id").cast("string")
+    docs = table(spark, d, "documents")
+    plan = docs.select("doc_id", F.format_string("shard-%d/sub-%d.tar", k % 8, k % 3).alias("tar_path"), k.alias("row"))
+    member = lambda i, data: F.struct(F.concat(n, F.lit(f"/{i}")).alias("member"), F.encode(data, "UTF-8").alias("content"))
+    both = F.array(member(0, F.concat(F.lit("{"), n, F.lit("}"))), member(1, F.coalesce("text", F.lit(""))))
+    payloads = docs.select("doc_id", F.when(k % 11 > 0, both).otherwise(F.slice(both, 1, 0)).alias("members"))
+    path = new_path(spark, "assembled")
+    tar.write_tar(tar.assemble(plan, payloads, ["doc_id"]), path, order=("row", "at"))
+    return tar.read_tar(spark, path, payload=True).select("tar_path", "ordinal", "member", F.sha2("content", 256).alias("sha256"))
+
+
 @query(f"SELECT CAST(doc_id AS VARCHAR) AS source_id, lpad(CAST({MD5.format('CAST(doc_id AS VARCHAR)', 8)} AS VARCHAR), 2, '0') AS planned_shard, lpad(CAST({MD5.format("concat(CAST(doc_id AS VARCHAR), '|sub')", 2)} AS VARCHAR), 3, '0') AS planned_subtar FROM documents")
 def snk3_written_plan(spark, d):
     path = new_path(spark, "plan")

@@ -1,56 +1,248 @@
-"""Tar archives as a data source and as a sink.
+"""Tar archives as a data source and a sink.
 
-Archives arrive through Spark's binary reader, so any file system it knows will do; each
-is read by one task. Members' bytes are built only where asked for.
+`spark.read.format("tar")` lists the archives under a path and deals them to tasks. A task
+steps from header to header by ranged reads, so a listing of names and sizes reads 512 bytes
+for each member, whatever the members hold; contents are read, one member at a time, only
+with option("content", True). `write.format("tar")` streams the rows of each archive, in
+their order, into a file of the task's own; the files take their names when the job commits
+and are deleted when it fails. A row without content is a missing one and fails the job.
+
+Both open files through Arrow's file systems. Archives in a store that only Spark can open
+are read through its binary files instead (members_of), each whole.
 """
 
 from __future__ import annotations
 
 import io
 import tarfile
+import uuid
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
+from pyarrow import fs as files
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
 _HEAD = [("tar_path", pa.string()), ("ordinal", pa.int64()), ("member", pa.string()), ("size", pa.int64()), ("is_file", pa.bool_())]
+HEADERS = "tar_path string, ordinal long, member string, size long, is_file boolean"
 #: Bytes of content, and members, that are handed on at once.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 10_000
-HEADERS = "tar_path string, ordinal long, member string, size long, is_file boolean"
+#: Archives, and with content bytes, of one task.
+TASK_ARCHIVES, TASK_BYTES = 64, 128 << 20
+#: Missing rows that a failed write names.
+NAMED = 10
 
 
-def _members(payload: bool):
-    schema = pa.schema(_HEAD + [("content", pa.binary())] * payload)
+def members_in(tar: tarfile.TarFile) -> Iterator[tuple[int, tarfile.TarInfo]]:
+    """(ordinal, header) of each member; headers that are done with are not kept."""
+    ordinal = 0
+    while (m := tar.next()) is not None:
+        tar.members = []
+        yield ordinal, m
+        ordinal += 1
 
-    def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                path, rows, size = batch.column(0)[i].as_py(), [], 0
-                with tarfile.open(fileobj=io.BytesIO(batch.column(1)[i].as_py()), mode="r:*") as tar:
-                    for k, m in enumerate(tar):
-                        row = {"tar_path": path, "ordinal": k, "member": m.name, "size": m.size, "is_file": m.isfile()}
-                        if payload and m.isfile():
-                            row["content"] = tar.extractfile(m).read()
-                            size += m.size
-                        rows.append(row)
-                        if size > BATCH_BYTES or len(rows) >= BATCH_ROWS:
-                            yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                            rows, size = [], 0
+
+def batches_of(tar_path: str, source, payload: bool) -> Iterator[pa.RecordBatch]:
+    """The members of an open, seekable archive as bounded batches."""
+    schema = pa.schema(_HEAD + [("content", pa.binary())] * payload)
+    rows, size = [], 0
+    with tarfile.open(fileobj=source, mode="r:") as tar:
+        for ordinal, m in members_in(tar):
+            row = {"tar_path": tar_path, "ordinal": ordinal, "member": m.name, "size": m.size, "is_file": m.isfile()}
+            if payload and m.isfile():
+                row["content"] = tar.extractfile(m).read()
+                size += m.size
+            rows.append(row)
+            if size > BATCH_BYTES or len(rows) >= BATCH_ROWS:
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows, size = [], 0
+    if rows:
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+@dataclass
+class Archives(InputPartition):
+    """Archives of one task: (path, path below the one that is read)."""
+
+    paths: list[tuple[str, str]]
+
+
+class TarReader(DataSourceReader):
+    def __init__(self, path: str, payload: bool):
+        self.path, self.payload = path, payload
+
+    def partitions(self) -> list[Archives]:
+        store, root = files.FileSystem.from_uri(self.path)
+        if store.get_file_info(root).type == files.FileType.File:
+            found = [store.get_file_info(root)]
+            root = root.rpartition("/")[0]
+        else:
+            found = store.get_file_info(files.FileSelector(root, recursive=True))
+        shown = lambda p: not any(part.startswith(("_", ".")) for part in p.split("/"))
+        below = sorted((f.path[len(root) :].lstrip("/"), f) for f in found if f.type == files.FileType.File and f.path.endswith(".tar"))
+        out, held = [Archives([])], 0
+        for name, f in below:
+            if not shown(name):
+                continue
+            if len(out[-1].paths) >= TASK_ARCHIVES or (self.payload and held and held + f.size > TASK_BYTES):
+                out.append(Archives([]))
+                held = 0
+            out[-1].paths.append((f.path, name))
+            held += f.size
+        return out
+
+    def read(self, partition: Archives) -> Iterator[pa.RecordBatch]:
+        store, _ = files.FileSystem.from_uri(self.path)
+        for path, name in partition.paths:
+            with store.open_input_file(path) as source:
+                yield from batches_of(name, source, self.payload)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """(temporary path, path below the one that is written, members, bytes) of a task's archives."""
+
+    archives: list[tuple[str, str, int, int]]
+
+
+class TarWriter(DataSourceArrowWriter):
+    """Rows (tar_path, row, member, content), those of an archive together and in the order they are to have."""
+
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite, self.job = path, overwrite, f"_temporary-{uuid.uuid4().hex}"
+
+    def _store(self) -> tuple[files.FileSystem, str]:
+        store, root = files.FileSystem.from_uri(self.path)
+        return store, root.rstrip("/")
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
+        store, root = self._store()
+        folder = f"{root}/{self.job}/{uuid.uuid4().hex}"  # an attempt's own
+        store.create_dir(folder, recursive=True)
+        done, missing, at, out, tar = [], [], None, None, None
+
+        def close():
+            if tar is not None:
+                tar.close()
+                out.close()
+
+        for batch in iterator:
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("tar_path", "row", "member", "content")]
+            for name, row, member, content in zip(*(c.to_pylist() for c in columns[:3]), columns[3], strict=True):
+                if member is None or not content.is_valid:
+                    missing.append(f"{name}: row {row}")
+                    if len(missing) >= NAMED:
+                        break
+                    continue
+                if name != at:
+                    close()
+                    if name in {d[1] for d in done}:
+                        raise ValueError(f"the rows of {name} do not stand together")
+                    done.append([f"{folder}/{len(done)}.tar", name, 0, 0])
+                    at, out = name, store.open_output_stream(done[-1][0])
+                    tar = tarfile.open(fileobj=out, mode="w|")
+                data = content.as_py()
+                info = tarfile.TarInfo(member)
+                info.size = len(data)
+                tar.addfile(info, io.BytesIO(data))
+                done[-1][2:] = done[-1][2] + 1, done[-1][3] + len(data)
+        close()
+        if missing:
+            raise ValueError(f"archives with missing rows are not written: {', '.join(missing)}")
+        return Written([tuple(d) for d in done])
+
+    def commit(self, messages: list[Written | None]) -> None:
+        store, root = self._store()
+        every = [a for m in messages if m is not None for a in m.archives]
+        twice = [name for name, n in Counter(a[1] for a in every).items() if n > 1]
+        if twice:
+            raise ValueError(f"several tasks wrote {', '.join(twice[:NAMED])}")
+        if not self.overwrite:
+            for name in (a[1] for a in every):
+                if store.get_file_info(f"{root}/{name}").type != files.FileType.NotFound:
+                    raise ValueError(f"{name} exists")
+        for temporary, name, _, _ in every:
+            store.create_dir(f"{root}/{name}".rpartition("/")[0], recursive=True)
+            store.move(temporary, f"{root}/{name}")
+        store.delete_dir(f"{root}/{self.job}")
+
+    def abort(self, messages: list[Written | None]) -> None:
+        store, root = self._store()
+        if store.get_file_info(f"{root}/{self.job}").type != files.FileType.NotFound:
+            store.delete_dir(f"{root}/{self.job}")
+
+
+class TarSource(DataSource):
+    """Format "tar". Options: path, content (whether members' bytes are read)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tar"
+
+    def _content(self) -> bool:
+        return str(self.options.get("content", "false")).lower() == "true"
+
+    def schema(self) -> str:
+        return HEADERS + ", content binary" * self._content()
+
+    def reader(self, schema) -> TarReader:
+        return TarReader(self.options["path"], self._content())
+
+    def writer(self, schema, overwrite: bool) -> TarWriter:
+        return TarWriter(self.options["path"], overwrite)
 
-    return run
+
+def opens(path: str) -> bool:
+    """Whether tasks can open files under path themselves."""
+    try:
+        files.FileSystem.from_uri(path)
+    except (OSError, pa.ArrowException):
+        return False
+    return True
 
 
 def read_tar(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
-    """Members of all archives under path, with content if payload."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", True).load(path)
-    return members_of(files.select("path", "content"), payload)
+    """Members of all archives (*.tar) under path, with content if payload. tar_path is the place below path."""
+    if opens(path):
+        spark.dataSource.register(TarSource)
+        return spark.read.format("tar").option("content", payload).load(path)
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", True).load(path)
+    return members_of(whole.select("path", "content"), payload)
 
 
 def members_of(archives: DataFrame, payload: bool = False) -> DataFrame:
     """Members of archives (path, content)."""
-    return archives.mapInArrow(_members(payload), HEADERS + ", content binary" * payload)
+
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                yield from batches_of(path, io.BytesIO(content.as_buffer()), payload)
+
+    return archives.mapInArrow(run, HEADERS + ", content binary" * payload)
+
+
+def write_tar(rows: DataFrame, path: str, mode: str = "append", order: tuple[str, ...] = ("ordinal",)) -> None:
+    """rows (tar_path, member, content and the columns of order) as archives under path, the
+    members of each in that order; an archive that exists fails the job unless mode is
+    "overwrite", and so does a row without member or content. An archive is one task's
+    stream, never held whole."""
+    rows.sparkSession.dataSource.register(TarSource)
+    dealt = rows.repartition("tar_path").sortWithinPartitions("tar_path", *order)
+    dealt.select("tar_path", F.col(order[0]).cast("string").alias("row"), "member", F.col("content").cast("binary").alias("content")).write.format("tar").mode(mode).save(path)
+
+
+def assemble(plan: DataFrame, payloads: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows to write of planned ones (keys, tar_path, row): the members that payloads (keys,
+    members: array of member, content) has for each, by row and at. A planned row that payloads
+    lacks stays as one without member, which the write refuses; one with no members gives none."""
+    there = payloads.select(*keys, "members", F.lit(True).alias("_there"))
+    rows = plan.join(there, keys, "left").withColumn("_none", F.lit(None).cast(payloads.schema["members"].dataType.elementType))
+    each = F.when(F.col("_there"), F.coalesce("members", F.array().cast(payloads.schema["members"].dataType))).otherwise(F.array("_none"))
+    return rows.select("tar_path", "row", F.posexplode(each).alias("at", "m")).select("tar_path", "row", "at", "m.member", "m.content")
 
 
 def member_sizes(members: DataFrame) -> DataFrame:
@@ -58,11 +250,14 @@ def member_sizes(members: DataFrame) -> DataFrame:
     return members.where("is_file").groupBy("tar_path", "member").agg(F.max_by("size", "ordinal").alias("size"))
 
 
-def tar_bytes(rows: DataFrame) -> DataFrame:
-    """rows (tar_path, ordinal, member, content) as (tar_path, content): one archive for each path, members in order.
+def names(members: DataFrame) -> DataFrame:
+    """tar_path and member of all members, folders and links too."""
+    return members.select("tar_path", "member").distinct()
+
 
-    An archive is one task's work, as its format asks; plans bound its rows.
-    """
+def tar_bytes(rows: DataFrame) -> DataFrame:
+    """rows (tar_path, ordinal, member, content) as (tar_path, content): small archives as
+    values, each built in the memory of one task; write_tar streams ones of any size to files."""
 
     def build(key, frame: pd.DataFrame) -> pd.DataFrame:
         out = io.BytesIO()
