@@ -2,10 +2,14 @@
 
 Words around cues of licensing, on whatever lines they stand, are candidate windows: a
 longest template's words on either side of every cue, so no notice is cut. Each window is
-compressed plainly and with every license template as a zstandard raw dictionary; every
-template that shortens it is confirmed word by word wherever it lies in the window. Of all
+compressed plainly and with every license template as a zstandard raw dictionary; templates
+are taken by how much they shorten it, and confirmed word by word wherever they lie in the
+window. A window is much longer than a notice, so a short notice may save less in it than its
+dictionary costs: the size reduction ranks templates and rules none out. What the window
+does not show is measured again on the place itself, without the words around it. Of all
 places that overlap the best stays: most words of a template, less DIFFERENCE_COSTS for each
-that differs, so that a whole text is preferred to a notice inside it.
+that differs, so that a whole text is preferred to a notice inside it; of equal ones the
+template with the greater reduction.
 
 Defined results: null texts are empty; a text without licenses has an empty list; words
 alone are compared, so line ends, white space and comment signs between them do not
@@ -147,12 +151,15 @@ class Scanner:
             self.named.append((name, own, most, parts, packed))
         self.span = max(len(own) + most for _, own, most, _, _ in self.named)
 
-    def gains(self, block: str) -> list[tuple[float, int]]:
-        """(share by which a template shortens the block, template) of those that do."""
+    def reductions(self, block: str) -> list[tuple[float, int]]:
+        """(share by which a template shortens the block, below 0 if it does not; template), the greatest first."""
         data = block.encode("utf-8", "surrogatepass")
         alone = len(self.plain.compress(data))
-        shares = [(1 - len(c.compress(data)) / alone, i) for i, (*_, c) in enumerate(self.named)]
-        return [x for x in shares if x[0] > 0]
+        return sorted(((1 - len(c.compress(data)) / alone, i) for i, (*_, c) in enumerate(self.named)), key=lambda x: (-x[0], x[1]))
+
+    def reduction(self, i: int, block: str) -> float:
+        data = block.encode("utf-8", "surrogatepass")
+        return 1 - len(self.named[i][4].compress(data)) / len(self.plain.compress(data))
 
     def places(self, i: int, block: str, words: list[tuple[str, int, int]]):
         """(words that differ, start, end) of the places of the words where template i lies."""
@@ -175,10 +182,13 @@ class Scanner:
         seen = []
         for words in windows(text, self.span):
             block = f" {' '.join(w for w, _, _ in words)} "
-            for share, i in self.gains(block):
-                seen += [(DIFFERENCE_COSTS * d - len(self.named[i][1]), d, i, a, b, -share) for d, a, b in self.places(i, block, words)]
+            for share, i in self.reductions(block):
+                for d, a, b in self.places(i, block, words):
+                    own = share if share > 0 else self.reduction(i, " ".join(w for w, x, y in words if a <= x and y <= b))
+                    seen.append((DIFFERENCE_COSTS * d - len(self.named[i][1]), d, -own, i, a, b))
+        won, at = [], []
         won, at = [], []
-        for _, d, i, a, b, share in sorted(seen):
+        for _, d, share, i, a, b in sorted(seen):
             k = bisect_left(at, a)
             if (k == 0 or won[k - 1][1] <= a) and (k == len(won) or b <= at[k]):
                 at.insert(k, a)

@@ -234,8 +234,8 @@ def test_licenses_against_every_window():
             own[at : at + 1] = rng.choice(([], ["other"], [own[at], "more"]))
         text = " ".join(words[:10] + own + words[10:])
         found = [(m[0].lower(), m.start(), m.end()) for m in licenses._WORD.finditer(text)]
-        block = f" {' '.join(w for w, _, _ in found)} "
-        for i, (_, mine, most, _, _) in enumerate(scanner.named):
+        block, near = f" {' '.join(w for w, _, _ in found)} ", set()
+        for i, (mine_name, mine, most, _, _) in enumerate(scanner.named):
             want = {}
             for a in range(len(found)):
                 for j, d in enumerate(word_distance(mine, [w for w, _, _ in found[a:]])):
@@ -243,7 +243,68 @@ def test_licenses_against_every_window():
                         end = found[a + j - 1][2]
                         want[end] = min(d, want.get(end, 99))
             assert {end: d for d, _, end in scanner.places(i, block, found)} == want, (name, i, text)
-        assert not scanner.find(text) or all(s[3] <= 3 for s in scanner.find(text))
+            near |= {mine_name for _ in want}
+        told = {s[2] for s in scanner.find(text)}
+        assert bool(told) == bool(near) and told <= near, (name, text)
+
+
+def prose(n, seed=6):
+    """Long documents of the tables without their own cues of licensing."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table(Path("/root/testdata/sf0.01/documents.parquet"), columns=["text"]).column("text").to_pylist() if t and len(t) > 2500]
+    random.Random(seed).shuffle(texts)
+    kept = ("\n".join(x for x in t.split("\n") if not licenses.CUE.search(x)) for t in texts)
+    return [t for t in kept if len(t) > 2000][:n]
+
+
+def brute_find(scanner, text):
+    """All places of all templates in the whole text, and of those that overlap the best."""
+    words = [(m[0][: licenses.WORD_CHARS].lower(), m.start(), m.end()) for m in licenses._WORD.finditer(text)]
+    seen, won = [], []
+    for i, (_, own, most, _, _) in enumerate(scanner.named):
+        first, size = [w for w, _, _ in words], len(own)
+        for a in range(len(words)):
+            if not set(first[a : a + most + 1]) & set(own[: most + 1]):
+                continue  # each of the first words of the template is missing
+            for j, d in enumerate(word_distance(own, first[a : a + size + most])):
+                if j and d <= most:
+                    seen.append((licenses.DIFFERENCE_COSTS * d - size, d, i, words[a][1], words[a + j - 1][2]))
+    for score, d, i, a, b in sorted(seen, key=lambda x: x[0]):
+        if all(b <= x or y <= a for _, _, x, y in won):
+            won.append((scanner.named[i][0], d, a, b))
+    return sorted(won, key=lambda x: x[2])
+
+
+def test_licenses_planted_in_prose():
+    """Every template, as it stands on a line of its own in the middle of long documents, is found there and nothing else is."""
+    scanner, docs = licenses.Scanner(), prose(12)
+    for name, t in licenses.TEMPLATES:
+        for text in docs:
+            lines = text.split("\n")
+            lines.insert(len(lines) // 2, t)
+            whole = "\n".join(lines)
+            at = whole.index(t)
+            found = scanner.find(whole)
+            assert [(f[2], f[3]) for f in found] == [(name, 0)], (name, found)
+            assert at <= found[0][0] and found[0][1] <= at + len(t) and found[0][4] > 0
+
+
+def test_licenses_brute_force():
+    """Several notices, some with words changed, in prose: find() gives what a search over the whole text gives."""
+    rng, scanner, docs = random.Random(9), licenses.Scanner(licenses.TEMPLATES[:25]), [t[:700] for t in prose(12, 3)]
+    for text in docs:
+        words = text.split(" ")
+        for name, t in rng.sample(licenses.TEMPLATES[:25], 3):
+            own = t.split()
+            if rng.random() < 0.5 and len(own) > 12:
+                own[rng.randrange(2, len(own) - 2)] = "otherwise"
+            at = rng.randrange(len(words))
+            words[at:at] = own
+        whole = " ".join(words)
+        assert [(f[2], f[3], f[0], f[1]) for f in scanner.find(whole)] == brute_find(scanner, whole)
 
 
 def test_licenses_whole_texts_wrapped():
