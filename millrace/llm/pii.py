@@ -38,8 +38,8 @@ KINDS = ("email", "ip", "card", "phone", "term")
 NEAR = 5
 SUPPORT = 3
 GENERALISE_AT, REMOVE_AT, LEAST_DISCLOSED = 0.5, 0.8, 0.5
-#: Sensitive terms held by a task at once; more are searched for in further passes.
-TERMS_A_PASS = 200_000
+#: Sensitive terms that every task may hold; more are dealt to the documents by a join on their words.
+TERMS_HELD = 200_000
 #: Candidate terms that may be sent to every executor; more meet their counts in a shuffle.
 BROADCAST_TERMS = 200_000
 CLASSES = ("NAME", "ACRONYM", "WORD")
@@ -51,7 +51,9 @@ _DIGIT = re.compile(r"[0-9]")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: Terms: two letters, or numerals that are no digits, and more; what parts them, as Spark's expressions say it.
 _TERM = re.compile(r"[^\W\d_]{2,}")
+NO_TERM = r"[^\p{L}\p{Nl}\p{No}]+"
 
 
 def luhn(digits: str) -> bool:
@@ -126,7 +128,7 @@ def _near_rows(batches):
 def word_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, class, n): how often each of terms occurs in docs (text) by the class it is
     written as; all other words are counted together under a null term."""
-    words = docs.select(F.explode(F.split(texts("text"), r"[^\p{L}]+")).alias("w")).where("w <> ''")
+    words = docs.select(F.explode(F.split(texts("text"), NO_TERM)).alias("w")).where("length(w) > 1")
     upper = F.upper("w") == F.col("w")
     kind = F.when(upper & (F.length("w") > 1), CLASSES[1]).when(F.upper(F.substring("w", 1, 1)) == F.substring("w", 1, 1), CLASSES[0]).otherwise(CLASSES[2])
     words = words.select(F.lower("w").alias("term"), kind.alias("class"))
@@ -138,13 +140,15 @@ def word_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return counts.groupBy(F.when(F.col("known"), F.col("term")).alias("term"), "class").agg(F.sum("n").alias("n"))
 
 
-def sensitive_terms(docs: DataFrame) -> DataFrame:
-    """(term, removed, label) of the terms that disclose an entity, from all of docs (text)."""
+def scored_terms(docs: DataFrame) -> DataFrame:
+    """What is weighed: (entity, term, together, contexts, occurs, class, seen, share, own, bits, of_class) of
+    the terms near an entity in at least SUPPORT contexts, from all of docs (text)."""
     near = keep(docs.select(texts("text").alias("text")).mapInArrow(_near_rows, "entity string, term string, context long"), "pii-near")
     pairs = near.where("term is not null").groupBy("entity", "term", "context").agg(F.count("*").alias("n")).groupBy("entity", "term").agg(F.sum("n").alias("together"), F.count("*").alias("contexts")).where(F.col("contexts") >= SUPPORT)
     pairs = keep(pairs, "pii-pairs")
     if pairs.isEmpty():
-        return pairs.select("term", F.lit(True).alias("removed"), F.lit("").alias("label"))
+        none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+        return pairs.select("*", none("occurs", "long"), none("class", "string"), none("seen", "long"), *[none(c, "double") for c in ("share", "own", "bits")], none("of_class", "long"))
     counts = keep(word_counts(docs, pairs.select("term").distinct()), "pii-counts")
     of_class = counts.groupBy("class").agg(F.sum("n").alias("of_class"))
     total = counts.agg(F.sum("n")).first()[0] or 1
@@ -153,83 +157,100 @@ def sensitive_terms(docs: DataFrame) -> DataFrame:
     share = F.least(F.lit(1.0), F.col("together") / F.col("occurs"))
     chance = F.least(F.lit(1.0), F.col("seen") / F.lit(float(total)))
     scored = pairs.join(occurs, "term").join(entities, "entity").withColumns({"share": share, "own": -F.log2(chance), "bits": F.log2(share / chance)})
+    return scored.join(F.broadcast(of_class), "class")  # as many rows as CLASSES
+
+
+def sensitive_terms(docs: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+    """(term, removed, label) of the terms that disclose an entity, from all of docs (text)."""
+    scored = scored_terms(docs) if scored is None else scored
     found = scored.where((F.col("share") >= GENERALISE_AT) & (F.col("bits") >= LEAST_DISCLOSED * F.col("own")))
-    above = found.groupBy("entity", "class").agg(F.sum("together").alias("t")).join(F.broadcast(of_class), "class").select("entity", "class", (F.col("t") / F.col("of_class")).alias("class_share"))  # as many rows as CLASSES
+    above = found.groupBy("entity", "class").agg((F.sum("together") / F.first("of_class")).alias("class_share"))
     found = found.join(above, ["entity", "class"])
     gone = (F.max("share") >= REMOVE_AT) | (F.max("class_share") >= GENERALISE_AT)
     return found.groupBy("term").agg(gone.alias("removed"), F.first("class").alias("label"))
 
 
-SPANS = "array<struct<start:long,kind:int,end:long,removed:boolean>>"
-_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("removed", pa.bool_())]))
+SPANS = "array<struct<start:long,kind:int,end:long,removed:boolean,label:string>>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("removed", pa.bool_()), ("label", pa.string())]))
 
 
-def _spans_of(text: str, spans: list[dict], terms: dict, first: bool) -> list[dict]:
-    """spans with the fixed ones, in the first pass, and those of some terms."""
-    if first:
-        spans = [{"start": a, "kind": k, "end": b, "removed": False} for a, k, b in base_spans(text)]
-    if terms:
-        fixed = [(s["start"], s["end"]) for s in spans if s["kind"] < 4]
-        starts, reach = [a for a, _ in fixed], list(accumulate((b for _, b in fixed), max))
-        free = lambda a, b: not ((k := bisect_left(starts, b)) and reach[k - 1] > a)
-        spans = spans + [{"start": m.start(), "kind": 4, "end": m.end(), "removed": terms[w][0]} for m in _TERM.finditer(text) if (w := m[0].lower()) in terms and free(m.start(), m.end())]
-    return spans
+def _spans_of(text: str, terms: dict) -> list[dict]:
+    """The fixed spans of a text and those of some terms (term -> removed, label), by start and kind."""
+    base = base_spans(text)
+    spans = [{"start": a, "kind": k, "end": b, "removed": False, "label": KINDS[k].upper()} for a, k, b in base]
+    if not terms:
+        return spans
+    starts, reach = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
+    free = lambda a, b: not ((k := bisect_left(starts, b)) and reach[k - 1] > a)
+    for m in _TERM.finditer(text):
+        if (found := terms.get(m[0].lower())) and free(m.start(), m.end()):
+            spans.append({"start": m.start(), "kind": 4, "end": m.end(), "removed": found[0], "label": found[1]})
+    return sorted(spans, key=lambda s: (s["start"], s["kind"]))
 
 
-def _replaced(text: str, spans: list[dict], terms: dict) -> str:
+def _replaced(text: str, spans: list[dict]) -> str:
     parts, done = [], 0
-    for s in sorted(spans, key=lambda s: (s["start"], s["kind"])):
+    for s in spans:
         if s["start"] >= done:
-            name = terms.get(text[s["start"] : s["end"]].lower(), (False, "TERM"))[1] if s["kind"] == 4 else KINDS[s["kind"]].upper()
-            parts += [text[done : s["start"]], "" if s["removed"] else f"[{name}]"]
+            parts += [text[done : s["start"]], "" if s["removed"] else f"[{s['label']}]"]
         done = max(done, s["end"])
     return "".join(parts) + text[done:] if parts else text
 
 
-def _finder(terms: dict[str, tuple[bool, str]], first: bool, spans_at: str, replace: bool = False):
-    """Adds spans to (.., text, .., spans): the fixed ones in the first pass, and those of some terms; with replace, texts are rewritten too."""
+def _finder(terms: dict[str, tuple[bool, str]] | None, spans_at: str, replace: bool = False):
+    """Fills the column spans_at, and with replace rewrites text; without terms a row brings its own in its last column."""
 
     def run(batches):
         for batch in slices(batches):
             place, at = batch.schema.get_field_index(spans_at), batch.schema.get_field_index("text")
-            old = batch.column(at).to_pylist()
-            spans = [_spans_of(t, s, terms, first) for t, s in zip(old, batch.column(place).to_pylist(), strict=True)]
-            columns = list(batch.columns)
+            old, columns, names = batch.column(at).to_pylist(), list(batch.columns), batch.schema.names
+            if terms is None:
+                own = [{t["term"]: (t["removed"], t["label"]) for t in ts or ()} for ts in columns.pop().to_pylist()]
+                names = names[:-1]
+            else:
+                own = [terms] * len(old)
+            spans = [_spans_of(t, o) for t, o in zip(old, own, strict=True)]
             columns[place] = pa.array(spans, _SPANS)
             if replace:
-                columns[at] = pa.array([_replaced(t, s, terms) for t, s in zip(old, spans, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                columns[at] = pa.array([_replaced(t, s) for t, s in zip(old, spans, strict=True)], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _passes(docs: DataFrame, spans_at: str, replace: bool) -> DataFrame:
-    """docs (text null as empty) after a pass for each block of terms. Where there is but one, as always below
-    TERMS_A_PASS terms, it finds and replaces at once, so that a task needs one Python worker."""
-    terms = keep(sensitive_terms(docs), "pii-terms")
+def _with_terms(docs: DataFrame, terms: DataFrame, name: str) -> DataFrame:
+    """docs with those of terms that their text holds, in a last column. Rows are numbered in a
+    written table; a document sends each of its words once, and only sensitive ones come back."""
+    row = free_name("_row", docs)
+    docs = keep(docs.withColumn(row, F.monotonically_increasing_id()), "pii-rows")
+    words = docs.select(row, F.explode(F.array_distinct(F.split(F.lower("text"), NO_TERM))).alias("term")).where("length(term) > 1")
+    held = words.join(terms, "term").groupBy(row).agg(F.collect_list(F.struct("term", "removed", "label")).alias(name))
+    return docs.join(held, row, "left").drop(row)
+
+
+def _passed(docs: DataFrame, spans_at: str, replace: bool, scored: DataFrame | None = None) -> DataFrame:
+    """docs (text null as empty) with their spans, and replaced texts. Up to TERMS_HELD terms every task holds them all."""
+    terms = keep(sensitive_terms(docs, scored), "pii-terms")
     rows = docs.withColumn("text", texts("text")).withColumn(spans_at, F.array().cast(SPANS))
-    passes = max(1, -(-terms.count() // TERMS_A_PASS))
-    for k in range(passes):
-        block = terms.where(F.pmod(F.xxhash64("term"), F.lit(passes)) == k)
-        some = {r["term"]: (r["removed"], r["label"]) for r in block.toLocalIterator()}  # about TERMS_A_PASS
-        rows = rows.mapInArrow(_finder(some, not k, spans_at, replace and passes == 1), rows.schema)
-    return rows if passes == 1 or not replace else sanitised(rows, spans_at)
+    if terms.count() > TERMS_HELD:
+        return _with_terms(rows, terms, free_name("_terms", rows)).mapInArrow(_finder(None, spans_at, replace), rows.schema)
+    some = {r["term"]: (r["removed"], r["label"]) for r in terms.toLocalIterator()}  # counted: at most TERMS_HELD
+    return rows.mapInArrow(_finder(some, spans_at, replace), rows.schema)
 
 
-def find(docs: DataFrame) -> DataFrame:
-    """docs (with text, null as empty) and _spans: struct<start, kind, end, removed>, by start and kind."""
-    rows = _passes(docs.drop("_spans"), "_spans", False)
-    return rows.withColumn("_spans", F.array_sort("_spans"))
+def find(docs: DataFrame, scored: DataFrame | None = None) -> DataFrame:
+    """docs (with text, null as empty) and _spans: struct<start, kind, end, removed, label>, by start and kind."""
+    return _passed(docs.drop("_spans"), "_spans", False, scored)
 
 
 def sanitised(rows: DataFrame, spans_at: str = "_spans") -> DataFrame:
-    """rows of find() with the spans in text replaced by [KIND], or removed."""
+    """rows of find() with the spans in text replaced by [LABEL], or removed."""
 
     def run(batches):
         for batch in slices(batches):
             at, place = batch.schema.get_field_index("text"), batch.schema.get_field_index(spans_at)
             columns = list(batch.columns)
-            columns[at] = pa.array([_replaced(t, s, {}) for t, s in zip(batch.column(at).to_pylist(), batch.column(place).to_pylist(), strict=True)], pa.string())
+            columns[at] = pa.array([_replaced(t, s) for t, s in zip(batch.column(at).to_pylist(), batch.column(place).to_pylist(), strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return rows.mapInArrow(run, rows.schema)
@@ -237,7 +258,7 @@ def sanitised(rows: DataFrame, spans_at: str = "_spans") -> DataFrame:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """docs with personal data in text replaced. Columns: those of docs."""
-    return _passes(docs, free_name("_spans", docs), True).select(*docs.columns)
+    return _passed(docs, free_name("_spans", docs), True).select(*docs.columns)
 
 
 def _joined(spans):
@@ -246,13 +267,18 @@ def _joined(spans):
 
 
 def op7_pii(spark, sf_dir: str) -> DataFrame:
+    """Beside the contract's columns, how strong the corpus' candidates are: the pairs of a term and
+    an entity that were weighed, and the greatest share and disclosed part of an entity among them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    rows = find(docs).select("doc_id", "_spans")
+    scored = keep(scored_terms(docs), "pii-scored")
+    best = scored.agg(F.count("*").alias("n"), F.max("share").alias("share"), F.max(F.col("bits") / F.col("own")).alias("disclosed")).first()
+    rows = find(docs, scored).select("doc_id", "_spans")
     of = lambda k: F.size(F.filter("_spans", lambda s: s["kind"] == k)).cast("long")
     return rows.select(
         "doc_id", *[of(k).alias(f"n_{KINDS[k]}") for k in range(4)],
         F.sha2(_joined(F.filter("_spans", lambda s: s["kind"] < 4)), 256).alias("base_sha256"), _joined(F.col("_spans")).alias("spans"),
         F.size("_spans").cast("long").alias("n_spans"),
+        F.lit(best["n"]).alias("weighed_pairs"), F.lit(best["share"]).cast("double").alias("greatest_share"), F.lit(best["disclosed"]).cast("double").alias("greatest_disclosed"),
     )
 
 

@@ -147,6 +147,81 @@ def test_pii_terms_are_generalised(spark):
     assert text[20] == " red sits far"
 
 
+def pii_corpus(rng, n=160):
+    """Documents of few words, in which some terms stand mostly near one of some addresses; words with numerals and marks among them."""
+    names, prose = ["Zaphod", "NASA", "ax²", "Ⅷth", "trillian", "Ford"], ["red", "Blue", "green", "a", "ω²x", "UP", "naïve", "x1y", "snow_man", "Ünder"]
+    out = []
+    for k in range(n):
+        words = [rng.choice(prose + names[:2]) for _ in range(rng.randrange(3, 30))]
+        for _ in range(rng.randrange(3)):
+            i, at = rng.randrange(len(names)), rng.randrange(len(words))
+            words[at:at] = rng.choice([[names[i], f"u{i}@mail.org"], [f"U{i}@mail.org", rng.choice(prose), names[i].upper()], [names[i], "10.0.0.1", rng.choice(names)]])
+        out.append((k, " ".join(words + ["Quxo", "u9@mail.org"] * (k % 9 == 0))))
+    return out
+
+
+def brute_scores(rows):
+    """(entity, term) -> (together, contexts, occurs, class, seen, share, own, bits), and counts by class."""
+    near, seen, counts = {}, collections.Counter(), collections.defaultdict(collections.Counter)
+    for _, text in rows:
+        found = [(m.start(), m.end(), m[0]) for m in re.finditer(r"[^\W\d_]{2,}", text)]
+        for _, _, w in found:
+            counts[w.lower()]["ACRONYM" if w.upper() == w else "NAME" if w[0].upper() == w[0] else "WORD"] += 1
+        spans = pii.base_spans(text)
+        for span in spans:
+            who = pii.entity(text, span)
+            seen[who] += 1
+            around = [f for f in found if f[1] <= span[0]][-5:] + [f for f in found if f[0] >= span[2]][:5]
+            for w in {f[2].lower() for f in around if not any(a <= f[0] < b for a, _, b in spans)}:
+                near.setdefault((who, w), []).append(" ".join(f[2].lower() for f in around))
+    total = sum(sum(c.values()) for c in counts.values())
+    out = {}
+    for (who, w), contexts in near.items():
+        if len(set(contexts)) >= pii.SUPPORT:
+            share, chance = min(1.0, len(contexts) / sum(counts[w].values())), min(1.0, seen[who] / total)
+            kind = max(counts[w].items(), key=lambda x: (x[1], x[0]))[0]
+            out[who, w] = (len(contexts), len(set(contexts)), sum(counts[w].values()), kind, seen[who], share, -math.log2(chance), math.log2(share / chance))
+    return out, {k: sum(c[k] for c in counts.values()) for k in pii.CLASSES}
+
+
+def brute_terms(rows):
+    scores, of_class = brute_scores(rows)
+    found = {k: v for k, v in scores.items() if v[5] >= pii.GENERALISE_AT and v[7] >= pii.LEAST_DISCLOSED * v[6]}
+    out = {}
+    for term in {t for _, t in found}:
+        mine = {who: v for (who, t), v in found.items() if t == term}
+        above = [sum(x[0] for (w, _), x in found.items() if w == who and x[3] == v[3]) / of_class[v[3]] for who, v in mine.items()]
+        out[term] = (max(v[5] for v in mine.values()) >= pii.REMOVE_AT or max(above) >= pii.GENERALISE_AT, next(iter(mine.values()))[3])
+    return out
+
+
+def test_pii_terms_brute_force(spark, monkeypatch):
+    """Scores, terms and texts as a plain count over the corpus gives them, whether tasks hold the terms or documents are joined with them."""
+    rows = pii_corpus(random.Random(3))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted, _ = brute_scores(rows)
+    got = {(r["entity"], r["term"]): tuple(r[c] for c in ("together", "contexts", "occurs", "class", "seen", "share", "own", "bits")) for r in pii.scored_terms(docs).collect()}
+    assert got.keys() == wanted.keys() and all(got[k] == pytest.approx(wanted[k]) for k in got) and {"ax²", "ⅷth"} <= {t for _, t in got}
+    terms = {r["term"]: (r["removed"], r["label"]) for r in pii.sensitive_terms(docs).collect()}
+    assert terms == brute_terms(rows) and {removed for removed, _ in terms.values()} == {True, False}
+
+    def told():
+        return sorted((r["doc_id"], r["text"]) for r in pii.sanitise(docs).collect()), sorted((r["doc_id"], [tuple(s) for s in r["_spans"]]) for r in pii.find(docs).collect())
+
+    held = told()
+    monkeypatch.setattr(pii, "TERMS_HELD", 0)
+    assert told() == held
+    assert sum(s[1] == 4 for _, spans in held[1] for s in spans) > 50 and not any("[TERM]" in t for _, t in held[0])
+
+
+def test_pii_of_long_texts(spark):
+    """A text of five million characters with fifty thousand addresses, and a run of a million digits."""
+    at = time.time()
+    rows = [(1, "Zaphod wrote u1@mail.org again " * 50_000), (2, "7" * 1_000_000), (3, "a@" * 500_000), (4, None)]
+    got = {r["doc_id"]: r["n"] for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", F.size(F.filter("_spans", lambda s: s["kind"] < 4)).alias("n")).collect()}
+    assert got == {1: 50_000, 2: 0, 3: 0, 4: 0} and time.time() - at < 90
+
+
 def binomial_cdf(n, k, p):
     return sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
 
