@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, ladder, urls
 from ..functions.licenses import BLOCKED, license_of
-from ..operators import dedup, joins, monitor, retry, stats
+from ..operators import dedup, joins, monitor, retry, selection, stats
 from . import shards
 
 QUERIES, SQL = {}, {}
@@ -288,6 +288,29 @@ def agg11_projection(spark, d):
     return estimates(spark, d).select("complete_fraction", "projected_complete")
 
 
+@query("""WITH r AS (SELECT CASE doc_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'no_figures' WHEN 2 THEN 'partial_figures' ELSE 'license_skip' END AS status, n_chars * 1000 AS x, doc_id % 100 * 2000 AS f, doc_id % 2 * 500000 AS o, doc_id % 7 AS e, doc_id % 3 AS g FROM documents),
+c AS (SELECT x, f, CASE WHEN o = 0 THEN f ELSE o END AS o, e, g FROM r WHERE status IN ('ok', 'no_figures')), p AS (SELECT 1409144 * ((SELECT count(*) FROM c) / (SELECT count(*) FROM r)) AS n)
+SELECT CAST(avg(e) AS DOUBLE) AS figures_mean, CAST(median(e) AS DOUBLE) AS figures_median, CAST(avg(g) AS DOUBLE) AS rendered_mean, CAST(median(g) AS DOUBLE) AS rendered_median, (SELECT count(*) FROM r WHERE status = 'partial_figures') / (SELECT count(*) FROM r) AS incomplete_fraction,
+ round(any_value(n) * avg(x) FILTER (x > 0) / 1e9, 2) AS projected_xml_gb, round(any_value(n) * avg(f) / 1e9, 2) AS projected_figure_gb, round(any_value(n) * avg(o) / 1e9, 2) AS projected_original_gb, round(any_value(n) * (avg(x) FILTER (x > 0) + avg(f)) / 1e9, 2) AS projected_total_gb FROM c, p""")
+def agg11_volumes(spark, d):
+    """Figures for each article, and the volumes that all identifiers are projected to, in GB."""
+    k = F.col("doc_id")
+    rows = table(spark, d, "documents").select(
+        F.when(k % 5 == 0, "ok").when(k % 5 == 1, "no_figures").when(k % 5 == 2, "partial_figures").otherwise("license_skip").alias("status"), (F.col("n_chars") * 1000).alias("xml_bytes"),
+        (k % 100 * 2000).alias("figure_bytes"), (k % 2 * 500_000).alias("original_figure_bytes"), (k % 7).alias("expected_figure_files"), (k % 3).alias("rendered_figure_files"),
+    )
+    return stats.estimate(rows, 1_409_144).select("figures_mean", "figures_median", "rendered_mean", "rendered_median", "incomplete_fraction", "projected_xml_gb", "projected_figure_gb", "projected_original_gb", "projected_total_gb")
+
+
+@query("""SELECT 'cents' AS measure, CAST(median(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS median, CAST(count(o_totalprice) AS BIGINT) AS n FROM orders UNION ALL SELECT 'orders', CAST(median(o_custkey) AS DOUBLE), count(o_custkey) FROM orders UNION ALL SELECT 'status', CAST(median(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS DOUBLE), count(CASE WHEN o_orderstatus = 'F' THEN 1 END) FROM orders""")
+def agg10_exact_medians(spark, d):
+    """Medians of three columns in the same passes: many values, fewer, and one value with nulls."""
+    rows = table(spark, d, "orders").select(F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"), F.col("o_custkey").cast("long").alias("orders"), F.when(F.col("o_orderstatus") == "F", F.lit(1).cast("long")).alias("status"))
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns]).first().asDict()
+    found = selection.medians(rows, counts)
+    return spark.createDataFrame([(c, found[c], counts[c]) for c in rows.columns], "measure string, median double, n long")
+
+
 @query("""SELECT l_orderkey, CAST(sum(CAST(l_quantity AS BIGINT)) FILTER (l_linestatus = 'F') AS BIGINT) AS figure_bytes, count(*) FILTER (l_linestatus = 'F') AS downloaded, count(*) FILTER (l_linestatus <> 'F') AS failed
  FROM lineitem GROUP BY 1""")
 def agg13_figure_rollup(spark, d):
@@ -317,7 +340,7 @@ def rt7_history(spark, d):
     return rows.select("conv_id", F.concat_ws(",", F.transform("retry_history", lambda h: F.concat_ws(":", h["turn"].cast("string"), h["status"], h["repair_pass"]))).alias("history"))
 
 
-@query("SELECT shard, CASE WHEN shard % 10 = 0 THEN 'DONE' WHEN ts IS NULL THEN CASE WHEN shard % 3 = 0 THEN 'PARTIAL' ELSE 'MISSING' END WHEN (epoch_us(now_) - epoch_us(ts)) / 1e6 > 900 THEN 'STALE' ELSE 'ACTIVE' END AS state FROM (SELECT i AS shard FROM range(200) x(i)) LEFT JOIN (SELECT user_id AS shard, max(ts) AS ts FROM events GROUP BY 1) USING (shard), (SELECT max(ts) AS now_ FROM events)")
+@query("SELECT shard, CASE WHEN shard % 10 = 0 THEN 'DONE' WHEN ts IS NULL THEN CASE WHEN shard % 3 = 0 THEN 'PARTIAL' ELSE 'MISSING' END WHEN (epoch_us(now_) - epoch_us(ts)) / 1e6 > 900 THEN 'STALE' ELSE 'ACTIVE' END AS state FROM (SELECT i AS shard FROM range(200) x(i) UNION SELECT user_id FROM events WHERE user_id IS NOT NULL) LEFT JOIN (SELECT user_id AS shard, max(ts) AS ts FROM events GROUP BY 1) USING (shard), (SELECT max(ts) AS now_ FROM events)")
 def hb2_shard_state(spark, d):
     events = table(spark, d, "events").select(F.col("user_id").alias("shard"), F.col("ts").cast("timestamp").alias("ts"))
     now = events.agg(F.max("ts").alias("now"))  # one row
