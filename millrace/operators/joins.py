@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .dedup import last_wins
 
+#: Buckets that an error names.
+NAMED = 10
+
 
 def fill_from_seed(rows: DataFrame, seed: DataFrame, key: str, columns: list[str], order: str) -> DataFrame:
     """Fills columns that are null or empty from the seed's last row of the key."""
@@ -32,6 +35,19 @@ def overlay(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     return old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
+def by_position(plan: DataFrame, manifest: DataFrame, bucket: list[str], at: str = "at") -> DataFrame:
+    """plan and manifest joined by their place in the bucket: row k of one stands for row k of
+    the other, whatever keys they hold and however often. Both need as many rows in every bucket;
+    an error names buckets that differ. Columns that both have are the manifest's; the plan's get "planned_" before them."""
+    count = lambda df, name: df.groupBy(*bucket).agg(F.count("*").alias(name))
+    differ = count(plan, "planned").join(count(manifest, "written"), bucket, "full").where(~F.col("planned").eqNullSafe(F.col("written"))).limit(NAMED).collect()
+    if differ:
+        raise ValueError("plan and manifest differ in length: " + ", ".join(f"{[r[b] for b in bucket]} {r['planned']} != {r['written']}" for r in differ))
+    keys = [*bucket, at]
+    own = plan.select(*keys, *[F.col(c).alias(f"planned_{c}" if c in manifest.columns else c) for c in plan.columns if c not in keys])
+    return manifest.join(own, keys)
+
+
 def inventory(members: DataFrame, by: str, kind: Column, kinds: list[str], size: str = "size_bytes") -> DataFrame:
     """Counts and bytes of members by archive, in all and of each kind, in one aggregation."""
     sums = [F.count("*").alias("members"), F.sum(size).alias("payload_bytes")]

@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions import ladder, urls
 from ..functions.xml import parse_xml, rewrite_media
+from ..operators import joins
 from ..operators.dedup import first_wins
 from ..sources import artifacts, jsonl, tar
 from ..sources.shared import new_path
@@ -87,10 +88,26 @@ def img3_render_reason(spark, d):
 
 @query("SELECT doc_id, source, lang FROM documents")
 def src1_jsonl_round_trip(spark, d):
-    path = new_path(spark, "rows")
-    rows = table(spark, d, "documents").select("doc_id", "source", "lang")
-    rows.write.option("ignoreNullFields", False).option("compression", "gzip").json(path)
-    return spark.read.schema(rows.schema).option("mode", "FAILFAST").json(path)
+    path, rows = new_path(spark, "rows"), table(spark, d, "documents").select("doc_id", "source", "lang")
+    artifacts.write_jsonl(rows, f"{path}/part.jsonl.gz")
+    return jsonl.read_jsonl(spark, f"{path}/part.jsonl.gz", rows.schema, parts=True)
+
+
+STATUS_SQL = "CASE doc_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'no_figures' WHEN 2 THEN 'xml_http_503' WHEN 3 THEN 'xml_http_404' END"
+
+
+def fetched_status():
+    k = F.col("doc_id") % 5
+    return F.when(k == 0, "ok").when(k == 1, "no_figures").when(k == 2, "xml_http_503").when(k == 3, "xml_http_404")
+
+
+@query(f"""SELECT count(*) AS rows, CAST(sum(n_chars) AS BIGINT) AS bytes, CAST(sum(doc_id % 8 / 4.0) AS DOUBLE) AS wait_seconds, CAST(max(doc_id % 8 / 4.0) AS DOUBLE) AS longest_wait, count(*) FILTER (status LIKE 'xml_http_%') AS http_errors,
+ count(*) FILTER (status LIKE 'xml_http_5%') AS server_errors, count(*) FILTER (status IN ('ok', 'no_figures')) AS succeeded FROM (SELECT *, {STATUS_SQL} AS status FROM documents)""")
+def agg15_counts_of_a_write(spark, d):
+    """What a write of fetched rows reports of them, observed as they were written."""
+    rows = table(spark, d, "documents").select("doc_id", fetched_status().alias("status"), F.col("n_chars").alias("n_bytes"), (F.col("doc_id") % 8 / 4).alias("wait"))
+    told = artifacts.write_jsonl(rows, new_path(spark, "fetched"), **artifacts.transfer_metrics(F.col("status"), F.col("n_bytes"), F.col("wait")))
+    return spark.createDataFrame([told], "rows long, bytes long, wait_seconds double, longest_wait double, http_errors long, server_errors long, succeeded long")
 
 
 @query("SELECT DISTINCT collection, code FROM (SELECT coalesce(source, '') AS collection, CASE WHEN doc_id % 9 > 0 THEN concat('c', doc_id % 400) ELSE '' END AS code FROM documents) WHERE code <> ''")
@@ -174,6 +191,36 @@ def snk6_joined_manifests(spark, d):
     return spark.read.text(whole).agg(F.count("*").alias("n"), F.sum(F.length("value")).alias("chars"))
 
 
+def in_buckets(rows, folder: str, order: str) -> None:
+    """JSON lines, a file for each bucket, in order."""
+    rows.repartition("bucket").sortWithinPartitions("bucket", order).write.partitionBy("bucket").option("ignoreNullFields", False).json(folder)
+
+
+@query("""SELECT row_number() OVER (ORDER BY doc_id % 8, doc_id) - 1 AS ordinal, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id) - 1 AS at, doc_id % 8 AS bucket, doc_id % 50 AS code FROM documents""")
+def src4_numbered_lines(spark, d):
+    """Lines of several manifests, numbered in each and over all, as they stand in the files; codes repeat."""
+    k, path = F.col("doc_id"), new_path(spark, "numbered")
+    in_buckets(table(spark, d, "documents").select(k, (k % 50).alias("code"), (k % 8).alias("bucket")), path, "doc_id")
+    rows = artifacts.numbered_rows(spark, path, "doc_id long, code long")
+    return rows.select("ordinal", "at", F.regexp_extract("file", r"bucket=([0-9]+)", 1).cast("long").alias("bucket"), "code")
+
+
+@query("""WITH m AS (SELECT doc_id % 6 AS bucket, row_number() OVER (PARTITION BY doc_id % 6 ORDER BY doc_id) - 1 AS at, concat('a-', doc_id % 50) AS source_id, CASE doc_id % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'xml_http_503' WHEN 2 THEN 'retry_blocked_row_error' ELSE 'no_figures' END AS status, concat('a-', doc_id % 50, '?') AS planned_source_id FROM documents)
+SELECT bucket, "at", source_id, planned_source_id, CASE WHEN status IN ('xml_http_503', 'retry_blocked_row_error') AND "at" % 2 = 0 THEN 'repaired' ELSE status END AS status FROM m""")
+def jn7_positional_repair(spark, d):
+    """Plan and manifest files joined by the place of their lines, as keys repeat; every second target gets a new row."""
+    k, bucket = F.col("doc_id"), F.regexp_extract("file", r"bucket=([0-9]+)", 1).cast("long").alias("bucket")
+    status = F.when(k % 5 == 0, "ok").when(k % 5 == 1, "xml_http_503").when(k % 5 == 2, "retry_blocked_row_error").otherwise("no_figures")
+    docs = table(spark, d, "documents").select("doc_id", F.concat(F.lit("a-"), (k % 50).cast("string")).alias("source_id"), status.alias("status"), (k % 6).alias("bucket"))
+    plans, manifests = new_path(spark, "plans"), new_path(spark, "manifests")
+    in_buckets(docs.select("doc_id", F.concat("source_id", F.lit("?")).alias("source_id"), "bucket"), plans, "doc_id")
+    in_buckets(docs, manifests, "doc_id")
+    read = lambda path, schema: artifacts.numbered_rows(spark, path, schema).select(bucket, "at", *[c.split(" ")[0] for c in schema.split(", ")])
+    rows = joins.by_position(read(plans, "source_id string"), read(manifests, "source_id string, status string"), ["bucket"])
+    new = rows.where(ladder.retry_target(F.col("status")) & (F.col("at") % 2 == 0)).withColumn("status", F.lit("repaired"))
+    return joins.overlay(rows, new, ["bucket", "at"])
+
+
 @query("SELECT n_nationkey, CAST(length(n_name) + 1 AS BIGINT) AS length, sha256(concat(n_name, chr(10))) AS sha256 FROM nation")
 def snk8_listing(spark, d):
     path = new_path(spark, "artifacts")
@@ -183,5 +230,4 @@ def snk8_listing(spark, d):
 
 @query("SELECT CAST(greatest(1, ceil(count(*) / (40 * 7.0))) AS BIGINT) AS subs FROM documents")
 def agg5_sub_count(spark, d):
-    return table(spark, d, "documents").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / (40 * 7))).cast("long").alias("subs"))
-
+    return shards.sub_counts(table(spark, d, "documents"), 40, 7)

@@ -20,6 +20,11 @@ def sub_count(rows: int, shards: int, per_subtar: int) -> int:
     return max(1, -(-rows // (shards * per_subtar)))
 
 
+def sub_counts(seed: DataFrame, shards: int, per_subtar: int) -> DataFrame:
+    """One row: subs, the sub-shards that a seed's rows need."""
+    return seed.agg(F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(shards * per_subtar))).cast("long").alias("subs"))
+
+
 def bucket_counts(plan: DataFrame, shards: int, subs: int) -> DataFrame:
     """Rows of every bucket, empty ones too; there are shards * subs of them."""
     spark = plan.sparkSession

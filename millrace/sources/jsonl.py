@@ -11,9 +11,10 @@ from ..operators.dedup import first_wins
 BAD = "_corrupt_record"
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    """Finished parts only (.jsonl, .jsonl.gz); a bad line fails the job."""
-    return spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", "*.{jsonl,jsonl.gz}").json(path)
+def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, parts: bool = False) -> DataFrame:
+    """Finished tables only (.jsonl, .jsonl.gz; with parts, Spark's .json and .json.gz ones of such a table too); a bad line fails the job."""
+    ends = "jsonl,jsonl.gz,json,json.gz" if parts else "jsonl,jsonl.gz"
+    return spark.read.schema(schema).option("mode", "FAILFAST").option("pathGlobFilter", f"*.{{{ends}}}").json(path)
 
 
 def read_document(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
