@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from ..functions import ids, ladder
 from ..operators import joins, resume
+from ..operators.commit import Buckets
+from ..operators.retry import ENTRY
 from ..sources import artifacts
+from ..sources.shared import new_path
 from . import handoff
 from .queries import MD5, query, table
 from .seed import build_seed
@@ -214,6 +217,46 @@ def jn7_length_mismatch(spark, d):
     return resume.mismatched(rows, rows.where("event_id % 50 > 0"), ["bucket"])
 
 
+REPAIR_SQL = f"""WITH r AS (SELECT event_id, user_id % 40 AS b, status, CASE WHEN event_id % 4 = 0 THEN 1 ELSE 0 END AS p, event_id % 3 AS m, {TARGET_SQL} AS target FROM (SELECT event_id, user_id, {{status}} AS status FROM events)),
+t AS (SELECT *, b % 3 > 0 AND count(*) FILTER (target) OVER (PARTITION BY b) > 0 AS done FROM r), u AS (SELECT *, target AND done AS again FROM t)
+SELECT lpad(CAST(b AS VARCHAR), 2, '0') AS bucket, event_id, CASE WHEN NOT again THEN status WHEN m = 2 THEN 'no_figures' WHEN m = 0 OR event_id % 2 = 0 THEN 'ok' ELSE 'retry_blocked_row_error' END AS status,
+ CAST(CASE WHEN again AND m = 1 THEN p + 2 WHEN again AND p > 0 THEN p + 1 END AS INTEGER) AS row_attempts, CAST(CASE WHEN again AND m = 1 THEN p + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END WHEN again AND p > 0 THEN p END AS INTEGER) AS row_retries,
+ CAST(p + CASE WHEN again AND m = 1 THEN CASE WHEN event_id % 2 = 0 THEN 1 ELSE 2 END ELSE 0 END AS INTEGER) AS entries, CASE WHEN again AND m = 1 THEN 'second' WHEN p > 0 THEN 'first' END AS last_pass, CASE WHEN done THEN 2 ELSE 1 END AS run FROM u"""
+EVENT_SQL = "CASE event_type WHEN 'error' THEN 'xml_http_' || CAST(500 + event_id % 3 AS VARCHAR) WHEN 'view' THEN 'retry_blocked_partial_figures' WHEN 'signup' THEN 'xml_http_404' ELSE 'ok' END"
+
+
+def repaired(spark, d):
+    """Buckets of events that are committed, overwritten by a run that is killed, and repaired by a pass
+    that has attempts for two buckets of three. Returns the table and what the pass did with each bucket."""
+    from .queries import event_status
+
+    k = F.col("event_id")
+    past = F.when(k % 4 == 0, F.array(F.struct(F.lit(1).alias("attempt"), F.lit("row_error").alias("status"), F.lit(None).cast("string").alias("error"), F.lit("first").alias("repair_pass"))))
+    rows = table(spark, d, "events").select(F.lpad((F.col("user_id") % 40).cast("string"), 2, "0").alias("bucket"), k, event_status().alias("status"), F.lit(None).cast("int").alias("row_attempts"), F.lit(None).cast("int").alias("row_retries"), past.cast(ENTRY).alias("retry_history"))
+    held = Buckets(spark, new_path(spark, "buckets"), rows.schema, ["bucket"], "event_id")
+    held.commit(rows)
+    held.stage(rows.withColumn("status", F.lit("ok")), held.next_run())  # killed before its commits
+    tries = rows.where(F.col("bucket").cast("int") % 3 > 0).select("bucket", "event_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("try"))
+    first = F.when(k % 3 == 0, "ok").when(k % 3 == 1, "xml_http_503").otherwise("no_figures")
+    told = F.when(F.col("try") == 1, first).when(k % 3 == 1, F.when(k % 2 == 0, "ok").otherwise("row_error"))
+    states = held.repair(tries.withColumn("status", told).where("status is not null"), "second", 1)
+    return held, states
+
+
+@query(REPAIR_SQL.replace("{status}", EVENT_SQL))
+def rt7_repaired_buckets(spark, d):
+    """All rows after the repair: histories carried on, and the run that each bucket was last committed by."""
+    rows = repaired(spark, d)[0].rows()
+    return rows.select("bucket", "event_id", "status", "row_attempts", "row_retries", F.coalesce(F.size("retry_history"), F.lit(0)).alias("entries"), F.element_at("retry_history", -1)["repair_pass"].alias("last_pass"), F.col("run").cast("int").alias("run"))
+
+
+@query(f"""SELECT lpad(CAST(b AS VARCHAR), 2, '0') AS bucket, count(*) FILTER (target) AS n_targets, CASE WHEN b % 3 = 0 THEN count(*) FILTER (target) ELSE 0 END AS n_missing, CASE WHEN count(*) FILTER (target) = 0 THEN 'noop' WHEN b % 3 = 0 THEN 'incomplete' ELSE 'commit' END AS state
+ FROM (SELECT user_id % 40 AS b, {TARGET_SQL} AS target FROM (SELECT user_id, {EVENT_SQL} AS status FROM events)) GROUP BY b""")
+def rt4_repair_states(spark, d):
+    """What the pass did with each bucket; targets without attempts leave theirs incomplete."""
+    return repaired(spark, d)[1]
+
+
 KEY_SQL = "concat(coalesce(source, ''), '|', doc_id % 300)"
 
 
