@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions import ids, ladder, urls
 from ..functions.licenses import BLOCKED, license_of
 from ..operators import dedup, joins, monitor, retry, selection, stats
+from ..sources.shared import new_path
+from ..streaming import liveness
 from . import shards
 
 QUERIES, SQL = {}, {}
@@ -350,6 +352,23 @@ def hb2_shard_state(spark, d):
     return monitor.shard_states(every.join(F.broadcast(now)), events, F.col("now")).select("shard", "state")
 
 
+@query("""WITH e AS (SELECT user_id, ts, CASE WHEN event_type = 'purchase' AND event_id % 50 = 0 THEN 'done' WHEN event_type = 'signup' THEN 'part' ELSE 'beat' END AS kind FROM events WHERE user_id IS NOT NULL)
+SELECT user_id AS shard, CASE WHEN bool_or(kind = 'done') THEN 'DONE' WHEN max(ts) FILTER (kind = 'beat') IS NULL THEN 'PARTIAL' WHEN (SELECT max(epoch_ms(ts)) FROM e) - max(epoch_ms(ts)) FILTER (kind = 'beat') > 86400000 THEN 'STALE' ELSE 'ACTIVE' END AS state FROM e GROUP BY user_id""")
+def hb1_liveness_stream(spark, d):
+    """The states that a stream of all events ends with; a shard is stale after a day. Timers in its
+    keyed state go off as the watermark passes, so silent shards need no event of their own."""
+    k = F.col("event_id")
+    kind = F.when((F.col("event_type") == "purchase") & (k % 50 == 0), liveness.DONE).when(F.col("event_type") == "signup", liveness.PART).otherwise(liveness.BEAT)
+    rows = table(spark, d, "events").where("user_id is not null").select(F.col("user_id").alias("shard"), F.col("ts").cast("timestamp").alias("ts"), kind.alias("kind"))
+    log, out = new_path(spark, "events"), new_path(spark, "changes")
+    rows.write.parquet(log)  # the log that the stream reads
+    events = spark.readStream.schema(rows.schema).parquet(log)
+    writer = liveness.liveness(events, late_seconds=43_200, stale_seconds=86_400).writeStream.outputMode("append").option("checkpointLocation", new_path(spark, "check"))
+    told = writer.trigger(availableNow=True).format("parquet").start(out)
+    told.awaitTermination()
+    return liveness.latest(spark.read.schema(liveness.CHANGES).parquet(out))
+
+
 @query("""WITH e AS (SELECT event_id, user_id, epoch_us(ts) / 1e6 - 1704067200 AS t_in FROM events), k AS (SELECT *, row_number() OVER w - 1 AS i FROM e WINDOW w AS (PARTITION BY user_id ORDER BY t_in, event_id)),
 s AS (SELECT *, max(t_in - i * 7200.0) OVER (PARTITION BY user_id ORDER BY t_in, event_id) + i * 7200.0 AS t_start FROM k) SELECT event_id, CAST(round((t_start - t_in) * 1000) AS BIGINT) AS wait_ms FROM s""")
 def rl1_limiter_waits(spark, d):
