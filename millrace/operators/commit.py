@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..functions.ladder import retry_target
+from ..sources.artifacts import exists
 from .joins import overlay
 from .retry import continued
 
@@ -39,8 +40,7 @@ class Buckets:
     at: str = "at"
 
     def _exists(self, part: str) -> bool:
-        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}")
-        return where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+        return exists(self.spark, f"{self.path}/{part}")
 
     def commits(self) -> DataFrame:
         """All commits: the columns of bucket, run, n_rows, n_targets (rows that may be retried)."""

@@ -9,12 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import ids, ladder
-from ..operators import joins, resume
+from ..operators import joins, resume, stats
 from ..operators.commit import Buckets
 from ..operators.retry import ENTRY
+from ..operators.verify import verify
 from ..sources import artifacts
 from ..sources.shared import new_path
 from . import handoff
+from . import seed as seeds
 from .queries import MD5, query, table
 from .seed import build_seed
 
@@ -162,6 +164,73 @@ def hb4_verify_all(spark, d):
     return open_.groupBy("shard").agg(F.count("*").alias("n_rows")).join(lost, "shard", "left").select("shard", "n_rows", F.coalesce("n_errors", F.lit(0)).alias("n_errors"))
 
 
+PAIRED_SQL = f"""WITH r AS (SELECT doc_id, shard, subtar, CASE WHEN doc_id % 17 > 0 THEN concat(shard, '/', subtar, '-', doc_id % 2, '.tar') END AS tar_path, CASE WHEN doc_id % 19 > 0 THEN status END AS status, xml_member, figures FROM ({MANIFEST_SQL})),
+tars AS (SELECT DISTINCT shard, subtar, tar_path FROM r WHERE tar_path IS NOT NULL), there AS (SELECT * FROM tars WHERE NOT (shard = 5 AND subtar = 1 AND tar_path LIKE '%-1.tar')),
+held AS (SELECT r.doc_id, r.shard, r.subtar, r.status, r.xml_member, r.figures, r.tar_path AS own, t.tar_path FROM r JOIN there t USING (shard, subtar)),
+wanted AS (SELECT doc_id, shard, subtar, own, tar_path, 'xml' AS kind, 0 AS place, xml_member AS member FROM held WHERE status IN ('ok', 'no_figures', 'partial_figures', 'figures_failed')
+ UNION ALL SELECT doc_id, shard, subtar, own, tar_path, 'figure', i, member FROM (SELECT *, unnest(list_transform(figures, lambda f: f.status)) AS s, unnest(list_transform(figures, lambda f: f.member)) AS member, unnest(range(1, len(figures) + 1)) AS i FROM held WHERE status IN ('ok', 'no_figures', 'partial_figures', 'figures_failed')) WHERE s = 'ok'),
+errors AS (SELECT shard, subtar, tar_path, CAST(NULL AS BIGINT) AS at_, 0 AS place, 'tar' AS kind, concat('missing tar ', tar_path) AS text FROM (SELECT * FROM tars EXCEPT SELECT * FROM there)
+ UNION ALL SELECT shard, subtar, tar_path, doc_id, place, kind, concat('missing ', kind, ' member ', member, ' in ', tar_path) FROM wanted WHERE member = '' OR own IS DISTINCT FROM tar_path OR doc_id % 23 = 0)"""
+
+
+def verified(spark, d, **options):
+    """Manifests of two archives each, of which one does not exist; members of every 23rd row are in none."""
+    k, rows = F.col("doc_id"), manifest(spark, d)
+    tar = F.when(k % 17 > 0, F.concat(F.col("shard").cast("string"), F.lit("/"), F.col("subtar").cast("string"), F.lit("-"), (k % 2).cast("string"), F.lit(".tar")))
+    rows = rows.withColumns({"tar_path": tar, "status": F.when(k % 19 > 0, F.col("status"))})
+    archives = rows.select("tar_path").where("tar_path is not null and tar_path <> '5/1-1.tar'").distinct()
+    names = F.concat(F.array("xml_member"), F.transform("figures", lambda f: f["member"]))
+    members = rows.where((k % 23 > 0) & F.col("tar_path").isNotNull()).select("tar_path", F.explode(names).alias("member"))
+    return verify(rows, archives, members, ["shard", "subtar"], "doc_id", **options)
+
+
+@query(f"{PAIRED_SQL} SELECT shard, coalesce(status, 'unknown') AS status, count(*) AS n FROM held GROUP BY ALL")
+def agg6_verify_statuses(spark, d):
+    return verified(spark, d).statuses
+
+
+@query(f"""{PAIRED_SQL} SELECT shard, n_rows, coalesce(n_errors, 0) AS n_errors, coalesce(n_tar, 0) AS n_tar, coalesce(n_xml, 0) AS n_xml, coalesce(n_figure, 0) AS n_figure, coalesce(errors, '') AS errors FROM (SELECT shard, count(*) AS n_rows FROM held GROUP BY shard)
+ LEFT JOIN (SELECT shard, count(*) AS n_errors, count(*) FILTER (kind = 'tar') AS n_tar, count(*) FILTER (kind = 'xml') AS n_xml, count(*) FILTER (kind = 'figure') AS n_figure FROM errors GROUP BY shard) USING (shard)
+ LEFT JOIN (SELECT shard, string_agg(text, ';' ORDER BY k) AS errors FROM (SELECT *, row_number() OVER (PARTITION BY shard ORDER BY subtar, tar_path, at_, place) AS k FROM errors) WHERE k <= 20 GROUP BY shard) USING (shard)""")
+def agg6_verify_report(spark, d):
+    """Rows, errors by kind and the first 20 errors of each shard."""
+    return verified(spark, d).report().withColumn("errors", F.array_join("errors", ";"))
+
+
+@query(f"{PAIRED_SQL} SELECT shard, subtar, tar_path, kind, count(*) AS n FROM errors WHERE shard NOT IN (3, 4) GROUP BY ALL")
+def hb4_verified_shards(spark, d):
+    """Every shard verified but those that were before: what is missing of each archive."""
+    done = spark.createDataFrame([(3,), (4,)], "shard long")
+    return verified(spark, d, done=done).errors.groupBy("shard", "subtar", "tar_path", "kind").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT which, license, count(*) AS n FROM (SELECT 'all' AS which, coalesce(license_code, 'NONE') AS license FROM ({MANIFEST_SQL}) UNION ALL SELECT 'accepted', coalesce(license_code, 'NONE') FROM ({ACCEPTED_SQL})) GROUP BY ALL")
+def agg2_license_codes(spark, d):
+    """License codes of all rows and of the accepted ones."""
+    rows = manifest(spark, d)
+    of = lambda which, r: stats.histogram(r, F.col("license_code"), "license", "NONE").select(F.lit(which).alias("which"), "license", "n")
+    return of("all", rows).unionByName(of("accepted", handoff.split(rows)[0]))
+
+
+@query(f"SELECT source_id, status FROM ({MANIFEST_SQL}) WHERE status IN ('ok', 'partial_figures', 'license_skip')")
+def st10_plan_of_statuses(spark, d):
+    return artifacts.filtered(manifest(spark, d), ("ok", "partial_figures", "license_skip")).select("source_id", "status")
+
+
+@query("""SELECT concat('a-', doc_id) AS source_id, CASE WHEN doc_id % 2 = 0 THEN 'own' WHEN doc_id % 4 = 1 THEN concat('late', doc_id) ELSE '' END AS document_type, CASE WHEN doc_id % 4 = 1 THEN CAST(2000 + doc_id % 20 AS VARCHAR) END AS publication_year, CASE WHEN doc_id % 4 = 1 THEN '{"html":{"en":"u"}}' END AS fulltexts FROM documents""")
+def src10_enriched(spark, d):
+    """Manifest rows filled from a seed of JSON lines: the last line of an id counts whole, ids that are no texts do not."""
+    k, n, path = F.col("doc_id"), F.col("doc_id").cast("string"), new_path(spark, "seed")
+    docs = table(spark, d, "documents").where(k % 4 < 2)
+    line = lambda id_, kind, rest: F.concat(F.lit('{"source_id":'), id_, F.lit(',"document_type":"'), kind, F.lit('"'), rest, F.lit("}"))
+    name = F.concat(F.lit('"a-'), n, F.lit('"'))
+    late = line(name, F.concat(F.lit("late"), n), F.concat(F.lit(',"publication_year":'), (2000 + k % 20).cast("string"), F.lit(',"fulltexts":{"html":{"en":"u"}}')))
+    lines = F.when(k % 4 == 1, F.array(line(name, F.lit("early"), F.lit(',"publication_date":"2001"')), late, line(n, F.lit("number"), F.lit("")), line(F.lit('""'), F.lit("empty"), F.lit("")))).otherwise(F.array(line(n, F.lit("number"), F.lit(""))))
+    docs.select(F.explode(lines).alias("value")).write.text(path)
+    rows = table(spark, d, "documents").select(F.concat(F.lit("a-"), n).alias("source_id"), F.when(k % 2 == 0, "own").otherwise("").alias("document_type"))
+    return seeds.enrich(rows, seeds.load_seed(spark, path)).select("source_id", "document_type", "publication_year", F.to_json("fulltexts").alias("fulltexts"))
+
+
 CACHE_SQL = "SELECT event_id, user_id AS bucket, CASE event_type WHEN 'error' THEN 'xml_http_' || CAST(500 + event_id % 3 AS VARCHAR) WHEN 'view' THEN 'retry_blocked_partial_figures' WHEN 'signup' THEN 'xml_http_404' ELSE 'ok' END AS status, event_id % 2 = 0 AS has_payload FROM events"
 
 

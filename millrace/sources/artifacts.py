@@ -72,10 +72,14 @@ def listing(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", F.sha2("content", 256).alias("sha256")).orderBy("path")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
 def choose_input(spark: SparkSession, single: str, parts: str) -> str:
     """The single table where it exists, else the folder of parts."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(single)
-    return single if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target) else parts
+    return single if exists(spark, single) else parts
 
 
 def filtered(seed: DataFrame, statuses: tuple[str, ...] = ("planned_xml",)) -> DataFrame:
