@@ -5,6 +5,10 @@ Files are written to the shared folder first and then read by the code that is t
 
 from __future__ import annotations
 
+import gzip
+from functools import partial
+
+from pyarrow import fs as files
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -13,6 +17,7 @@ from ..functions.xml import parse_xml, rewrite_media
 from ..operators import joins
 from ..operators.dedup import first_wins
 from ..sources import artifacts, jsonl, tar
+from ..sources.pages import PAGES, cursor, stream_pages
 from ..sources.shared import new_path
 from . import shards
 from .queries import MD5, query, table
@@ -120,6 +125,55 @@ def src3_identifier_pages(spark, d):
     return jsonl.read_identifiers(spark, path).select("collection", "code")
 
 
+PAGES_SQL = "SELECT doc_id // 100 AS page, doc_id % 100 AS place, CASE WHEN doc_id % 9 > 0 THEN concat('c', doc_id % 400) ELSE '' END AS code, coalesce(source, '') AS collection FROM documents"
+
+
+def harvest(spark, d):
+    """Pages of a hundred documents, numbered without a gap, read as a stream and kept."""
+    k, path, out = F.col("doc_id"), new_path(spark, "harvest"), new_path(spark, "identifiers")
+    code = F.when(k % 9 > 0, F.concat(F.lit("c"), (k % 400).cast("string"))).otherwise("")
+    docs = table(spark, d, "documents").select(F.floor(k / 100).alias("page"), F.struct(k.alias("k"), code.alias("code"), F.coalesce("source", F.lit("")).alias("collection")).alias("o"))
+    total = docs.agg(F.count("*").alias("total")).first()["total"]
+    objects = F.transform(F.array_sort(F.collect_list("o")), lambda o: F.struct(o["code"].alias("code"), o["collection"].alias("collection")))
+    pages = docs.groupBy("page").agg(objects.alias("objects"))  # a hundred rows each
+    text = F.to_json(F.struct(F.struct(F.lit(total).alias("total")).alias("meta"), "objects"))
+    pages.select("page", text.alias("text")).foreachPartition(partial(write_pages, path))
+    stream = stream_pages(spark, path)
+    q = stream.writeStream.format("parquet").option("checkpointLocation", new_path(spark, "cursor")).trigger(availableNow=True).start(out)
+    q.awaitTermination()
+    return spark.read.schema(PAGES).parquet(out)
+
+
+def write_pages(path: str, rows) -> None:
+    """Page files under the names that a harvest gives them."""
+    store, root = files.FileSystem.from_uri(path)
+    store.create_dir(root, recursive=True)
+    for r in rows:
+        with store.open_output_stream(f"{root}/page_{r['page']:06d}.json.gz", compression=None) as f:
+            f.write(gzip.compress(r["text"].encode()))
+
+
+@query(f"SELECT collection, code, min(page * 100 + place) AS first FROM ({PAGES_SQL}) WHERE code <> '' GROUP BY ALL")
+def src3_harvest_stream(spark, d):
+    """The first of each identifier, from a stream of page files."""
+    rows = harvest(spark, d).where("coalesce(code, '') <> ''")
+    return first_wins(rows, ["collection", "code"], ["page", "at"]).select("collection", "code", (F.col("page") * 100 + F.col("at")).alias("first"))
+
+
+@query(f"SELECT CAST(max(page) + 1 AS BIGINT) AS next_page, count(*) AS next_offset, count(*) AS reported_total, true AS complete FROM ({PAGES_SQL})")
+def cur1_cursor(spark, d):
+    """Where the harvest stands once all its pages are read."""
+    return cursor(harvest(spark, d))
+
+
+@query(f"SELECT doc_id FROM documents WHERE {MD5.format('CAST(doc_id AS VARCHAR)', 8)} = 5 AND {MD5.format("concat('articlemeta-sub|', CAST(doc_id AS VARCHAR))", 2)} = 1")
+def prt2_shard_files(spark, d):
+    """What one sub-shard's run reads of a table that is written by shard: the files of its folder."""
+    path = new_path(spark, "by-shard")
+    shards.write_by_shard(table(spark, d, "documents").select("doc_id"), path, F.col("doc_id").cast("string"), 8, 2)
+    return shards.read_shard(spark, path, 5, 1)
+
+
 @query("SELECT event_id FROM events e WHERE event_id < coalesce((SELECT min(event_id) FROM events b WHERE b.event_id % 101 = 0 AND b.user_id IS NOT DISTINCT FROM e.user_id), 9223372036854775807)")
 def src5_tolerant_prefixes(spark, d):
     """A file for each user, of which some have a bad line: what stands before it."""

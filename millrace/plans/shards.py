@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ids import padded, stable_shard
+from ..functions.ids import padded, stable_shard, stable_sub_shard
 
 
 def with_buckets(seed: DataFrame, shards: int, subs: int, key: str = "source_id") -> DataFrame:
@@ -39,3 +39,16 @@ def bucket_counts(plan: DataFrame, shards: int, subs: int) -> DataFrame:
 def write_plan(plan: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One folder for each bucket, rows in order of the key."""
     plan.repartition("planned_shard", "planned_subtar").sortWithinPartitions("planned_shard", "planned_subtar", "source_id").write.mode(mode).partitionBy("planned_shard", "planned_subtar").json(path, compression="gzip")
+
+
+def write_by_shard(rows: DataFrame, path: str, key: Column, shards: int, subs: int = 1, mode: str = "errorifexists") -> None:
+    """rows as Parquet with a folder for each shard and sub-shard of key, so that a shard's run
+    opens its own files only. Files are as many as Spark's partitions times the shards in them."""
+    dealt = rows.withColumns({"shard": stable_shard(key, shards), "sub": stable_sub_shard(key, subs)})
+    dealt.repartition("shard", "sub").write.mode(mode).partitionBy("shard", "sub").parquet(path)
+
+
+def read_shard(spark: SparkSession, path: str, shard: int, sub: int | None = None) -> DataFrame:
+    """What write_by_shard() has dealt to a shard, or to one sub-shard of it; a filter of folders, not of rows."""
+    rows = spark.read.parquet(path).where(F.col("shard") == shard)
+    return (rows if sub is None else rows.where(F.col("sub") == sub)).drop("shard", "sub")
