@@ -29,14 +29,22 @@ def unescaped(text: pd.Series) -> pd.Series:
 def license_of(text: Column, urls: Column | None = None, unescape: bool = True) -> Column:
     """struct<code, policy>: keep, skip, unknown or missing. Blocked terms come first,
     and are sought with all separators removed. Unescaping HTML is the one step that
-    needs Python; switch it off for texts that hold no entities."""
+    needs Python; switch it off for texts that hold no entities.
+
+    Each form of the text is built once: what follows from it stands in a lambda over an
+    array of it, as arms of a CASE would build it anew wherever they name it."""
     hay = F.concat_ws(" ", F.coalesce(text, F.lit("")), *([urls] if urls is not None else []))
     hay = F.lower(unescaped(hay) if unescape else hay)
-    compact = F.regexp_replace(hay, "[^a-z0-9]+", "")
     has = lambda where, words: reduce(or_, (F.contains(where, F.lit(w)) for w in words))
-    blank, blocked = F.btrim(hay, F.lit(" \t\n\r")) == "", has(compact, BLOCKED)
-    code = F.when(blank | blocked, F.lit(None).cast("string"))
-    for name, words in NAMED:
-        code = code.when(has(hay, words), F.lit(name))
-    policy = F.when(blank, "missing").when(blocked, "skip").when(has(hay, [w for _, words in NAMED for w in words]), "keep").otherwise("unknown")
-    return F.struct(code.alias("code"), policy.alias("policy"))
+    once = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def named(hay: Column) -> Column:
+        code = reduce(lambda arms, n: arms.when(has(hay, n[1]), F.lit(n[0])), NAMED, F.when(F.lit(False), F.lit(None).cast("string")))
+        return once(code, lambda c: F.struct(c.alias("code"), F.when(c.isNotNull(), "keep").otherwise("unknown").alias("policy")))
+
+    def judged(hay: Column) -> Column:
+        without = lambda policy: F.struct(F.lit(None).cast("string").alias("code"), F.lit(policy).alias("policy"))
+        blocked = once(F.regexp_replace(hay, "[^a-z0-9]+", ""), lambda compact: has(compact, BLOCKED))
+        return F.when(F.btrim(hay, F.lit(" \t\n\r")) == "", without("missing")).when(blocked, without("skip")).otherwise(named(hay))
+
+    return once(hay, judged)

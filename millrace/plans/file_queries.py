@@ -282,6 +282,36 @@ def snk8_listing(spark, d):
     return artifacts.listing(spark, path).where("path like '%/k=%'").select(F.regexp_extract("path", r"/k=([0-9]+)/", 1).cast("int").alias("n_nationkey"), "length", "sha256")
 
 
+@query(f"""WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS source_id, {MD5.format('CAST(doc_id AS VARCHAR)', 8)} AS a, {MD5.format("concat(CAST(doc_id AS VARCHAR), '|sub')", 2)} AS b FROM documents)
+SELECT lpad(CAST(a AS VARCHAR), 2, '0') AS planned_shard, lpad(CAST(b AS VARCHAR), 3, '0') AS planned_subtar, row_number() OVER (PARTITION BY a, b ORDER BY source_id) - 1 AS place, source_id FROM p""")
+def srt1_plan_order(spark, d):
+    """The rows of each plan file in the order of its lines, which is that of their ids."""
+    path, part = new_path(spark, "plan"), lambda name: F.regexp_extract("file", name + "=([0-9]+)", 1).alias(name)
+    shards.write_plan(shards.with_buckets(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_id")), 8, 2), path)
+    return artifacts.numbered_rows(spark, path, "source_id string").select(part("planned_shard"), part("planned_subtar"), F.col("at").alias("place"), "source_id")
+
+
+@query(f"""WITH p AS (SELECT {MD5.format('CAST(doc_id AS VARCHAR)', 300)} AS a, {MD5.format("concat(CAST(doc_id AS VARCHAR), '|sub')", 4)} AS b FROM documents), c AS (SELECT i, (SELECT count(*) FROM p WHERE a = i) AS n FROM range(300) x(i))
+SELECT 300 AS n_shards, 4 AS sub_count_per_shard, 50 AS articles_per_subtar_target, 3 AS pad_shard, 3 AS pad_sub, CAST(sum(n) AS BIGINT) AS total_articles, 1200 AS plans_written, string_agg(CAST(n AS VARCHAR), ',' ORDER BY i) AS shard_article_counts FROM c""")
+def agg4_plan_meta(spark, d):
+    """What describes a plan of 300 shards, of which some are empty."""
+    plan = shards.with_buckets(table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("source_id")), 300, 4)
+    return shards.plan_meta(plan, 300, 4, 50).withColumn("shard_article_counts", F.array_join(F.transform("shard_article_counts", lambda n: n.cast("string")), ","))
+
+
+@query("SELECT count(*) AS records, min(doc_id) AS first, max(doc_id) AS last, (SELECT count(*) FROM documents) AS total, true AS single FROM documents WHERE doc_id // 100 = 3")
+def src2_document(spark, d):
+    """One JSON document of many lines, chosen as it exists beside a folder of parts."""
+    k, path, parts = F.col("doc_id"), new_path(spark, "state"), new_path(spark, "parts")
+    docs = table(spark, d, "documents")
+    whole = docs.groupBy(F.floor(k / 100).alias("page")).agg(F.array_sort(F.collect_list(k)).alias("codes")).where("page = 3")
+    text = F.regexp_replace(F.to_json(F.struct(F.lit(docs.count()).alias("total"), "codes")), ",", ",\n ")
+    whole.select(text.alias("value")).coalesce(1).write.text(path)
+    chosen = artifacts.choose_input(spark, path, parts)
+    rows = jsonl.read_document(spark, chosen, "total long, codes array<long>")
+    return rows.select(F.size("codes").cast("long").alias("records"), F.array_min("codes").alias("first"), F.array_max("codes").alias("last"), "total", F.lit(chosen == path).alias("single"))
+
+
 @query("SELECT CAST(greatest(1, ceil(count(*) / (40 * 7.0))) AS BIGINT) AS subs FROM documents")
 def agg5_sub_count(spark, d):
     return shards.sub_counts(table(spark, d, "documents"), 40, 7)

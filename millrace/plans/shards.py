@@ -36,6 +36,16 @@ def bucket_counts(plan: DataFrame, shards: int, subs: int) -> DataFrame:
     return every.join(counts, ["planned_shard", "planned_subtar"], "left").select("planned_shard", "planned_subtar", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
+def plan_meta(plan: DataFrame, shards: int, subs: int, per_subtar: int) -> DataFrame:
+    """One row that describes a written plan: its shape, rows of every shard, and plans, empty ones too."""
+    counts = bucket_counts(plan, shards, subs).groupBy("planned_shard").agg(F.sum("n").alias("n"))
+    every = F.transform(F.array_sort(F.collect_list(F.struct("planned_shard", "n"))), lambda s: s["n"])  # as many as shards
+    return counts.agg(
+        F.lit(shards).alias("n_shards"), F.lit(subs).alias("sub_count_per_shard"), F.lit(per_subtar).alias("articles_per_subtar_target"), F.lit(max(2, len(str(shards - 1)))).alias("pad_shard"),
+        F.lit(max(3, len(str(subs - 1)))).alias("pad_sub"), F.sum("n").alias("total_articles"), F.lit(shards * subs).alias("plans_written"), every.alias("shard_article_counts"),
+    )
+
+
 def write_plan(plan: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One folder for each bucket, rows in order of the key."""
     plan.repartition("planned_shard", "planned_subtar").sortWithinPartitions("planned_shard", "planned_subtar", "source_id").write.mode(mode).partitionBy("planned_shard", "planned_subtar").json(path, compression="gzip")
