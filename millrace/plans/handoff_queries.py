@@ -13,9 +13,9 @@ from ..operators import joins, resume, stats
 from ..operators.commit import Buckets
 from ..operators.retry import ENTRY
 from ..operators.verify import verify
-from ..sources import artifacts
+from ..sources import artifacts, tar
 from ..sources.shared import new_path
-from . import handoff
+from . import archives, handoff
 from . import seed as seeds
 from .queries import MD5, query, table
 from .seed import build_seed
@@ -164,6 +164,56 @@ def hb4_verify_all(spark, d):
     return open_.groupBy("shard").agg(F.count("*").alias("n_rows")).join(lost, "shard", "left").select("shard", "n_rows", F.coalesce("n_errors", F.lit(0)).alias("n_errors"))
 
 
+ARCHIVED_SQL = f"""WITH r AS (SELECT * REPLACE (concat('t-', doc_id % 10, '.tar') AS tar_path) FROM ({ACCEPTED_SQL})),
+m AS (SELECT doc_id, source_id, tar_path, unnest(list_concat([{{'kind': 'xml', 'member': xml_member}}, {{'kind': 'source', 'member': source_member}}], list_transform({GOOD_SQL}, lambda f: {{'kind': 'figure', 'member': f.member}})), recursive := true) FROM r),
+s AS (SELECT m.*, doc_id % 10 <> 3 AND NOT (kind = 'figure' AND doc_id % 4 = 0) AS there, CASE WHEN doc_id % 10 <> 3 AND NOT (kind = 'figure' AND doc_id % 4 = 0) THEN doc_id % 90 + length(kind) ELSE 0 END AS size_bytes FROM m)"""
+
+
+def archived(spark, d):
+    """Accepted rows and the archives of their members: one of ten archives is not written, nor are figures of every fourth row."""
+    k = F.col("doc_id")
+    rows = accepted_rows(spark, d).withColumn("tar_path", F.concat(F.lit("t-"), (k % 10).cast("string"), F.lit(".tar")))
+    every = handoff.members(rows).join(rows.select("source_id", "doc_id"), "source_id").where((k % 10 != 3) & ~((F.col("kind") == "figure") & (k % 4 == 0)))
+    path = new_path(spark, "archives")
+    content = F.repeat(F.lit("x"), (k % 90 + F.length("kind")).cast("int"))
+    tar.write_tar(every.select("tar_path", "doc_id", "kind", "member", content.alias("content")), path, order=("doc_id", "kind", "member"))
+    return rows, path
+
+
+@query(f"{ARCHIVED_SQL} SELECT source_id, kind, tar_path, member, size_bytes FROM s")
+def jn2_archive_members(spark, d):
+    """Every member that accepted rows name with the size that its archive's header tells, 0 where there is none."""
+    return archives.account(spark, *archived(spark, d)).members
+
+
+@query(f"""{ARCHIVED_SQL} SELECT tar_path, (SELECT count(*) FROM r WHERE r.tar_path = s.tar_path) AS rows, count(*) AS members, CAST(sum(size_bytes) AS BIGINT) AS payload_bytes, count(*) FILTER (kind = 'figure') AS figure_members,
+ CAST(coalesce(sum(size_bytes) FILTER (kind = 'figure'), 0) AS BIGINT) AS figure_bytes, count(*) FILTER (NOT there) + CASE WHEN bool_or(doc_id % 10 = 3) THEN 1 ELSE 0 END AS missing, bool_and(doc_id % 10 <> 3) AS exists FROM s GROUP BY tar_path""")
+def agg7_archive_accounts(spark, d):
+    """Rows, members and bytes of each archive, what is missing of it, and whether it exists at all."""
+    told = archives.account(spark, *archived(spark, d))
+    lacks = told.missing.groupBy("tar_path").agg(F.count("*").alias("missing"))
+    rows = told.archives.join(lacks, "tar_path", "left")
+    return rows.select("tar_path", "rows", "members", "payload_bytes", "figure_members", "figure_bytes", F.coalesce("missing", F.lit(0)).alias("missing"), (F.col("tar_size_bytes") > 0).alias("exists"))
+
+
+@query("""WITH r AS (SELECT doc_id, concat('b-', doc_id % 12, '.tar') AS tar_path, doc_id % 12 < 8 AND doc_id % 5 = 2 AS target FROM documents), t AS (SELECT *, bool_or(target) OVER (PARTITION BY tar_path) AS touched FROM r),
+m AS (SELECT doc_id, tar_path, target AND touched AS again, touched, unnest(CASE WHEN target THEN ['new', 'x'] ELSE ['s', 'x'] END) AS kind, unnest([0, 1]) AS at_ FROM t)
+SELECT tar_path, row_number() OVER (PARTITION BY tar_path ORDER BY doc_id, at_) - 1 AS ordinal, concat(doc_id, '/', kind) AS member, sha256(CASE WHEN again THEN concat('repaired ', doc_id) ELSE concat(kind, doc_id) END) AS sha256 FROM m""")
+def rt4_repaired_archives(spark, d):
+    """Archives with repaired rows written anew: targets bring their members, other rows keep theirs, other archives are not touched."""
+    k, n, path = F.col("doc_id"), F.col("doc_id").cast("string"), new_path(spark, "repaired")
+    name = lambda kind: F.concat(n, F.lit(f"/{kind}"))
+    docs = table(spark, d, "documents").select(k, F.concat(F.lit("b-"), (k % 12).cast("string"), F.lit(".tar")).alias("tar_path"))
+    old = docs.select("tar_path", "doc_id", F.explode(F.array(F.lit("s"), F.lit("x"))).alias("kind"))
+    tar.write_tar(old.select("tar_path", "doc_id", "kind", F.concat(n, F.lit("/"), "kind").alias("member"), F.concat("kind", n).alias("content")), path, order=("doc_id", "kind"))
+    figures = F.array().cast("array<struct<status:string,member:string>>")
+    rows = docs.select("tar_path", k.alias("row"), name("s").alias("source_member"), name("x").alias("xml_member"), figures.alias("figures"), ((k % 12 < 8) & (k % 5 == 2)).alias("target"))
+    data = F.encode(F.concat(F.lit("repaired "), n), "UTF-8")
+    made = F.array(*[F.struct(name(m).alias("member"), data.alias("content")) for m in ("new", "x")])
+    archives.repair_archives(spark, path, rows, docs.where((k % 12 < 8) & (k % 5 == 2)).select("tar_path", k.alias("row"), made.alias("members")))
+    return tar.read_tar(spark, path, payload=True).select("tar_path", "ordinal", "member", F.sha2("content", 256).alias("sha256"))
+
+
 PAIRED_SQL = f"""WITH r AS (SELECT doc_id, shard, subtar, CASE WHEN doc_id % 17 > 0 THEN concat(shard, '/', subtar, '-', doc_id % 2, '.tar') END AS tar_path, CASE WHEN doc_id % 19 > 0 THEN status END AS status, xml_member, figures FROM ({MANIFEST_SQL})),
 tars AS (SELECT DISTINCT shard, subtar, tar_path FROM r WHERE tar_path IS NOT NULL), there AS (SELECT * FROM tars WHERE NOT (shard = 5 AND subtar = 1 AND tar_path LIKE '%-1.tar')),
 held AS (SELECT r.doc_id, r.shard, r.subtar, r.status, r.xml_member, r.figures, r.tar_path AS own, t.tar_path FROM r JOIN there t USING (shard, subtar)),

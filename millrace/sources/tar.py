@@ -14,6 +14,7 @@ are read through its binary files instead (members_of), each whole.
 from __future__ import annotations
 
 import io
+import json
 import tarfile
 import uuid
 from collections import Counter
@@ -72,8 +73,8 @@ class Archives(InputPartition):
 
 
 class TarReader(DataSourceReader):
-    def __init__(self, path: str, payload: bool):
-        self.path, self.payload = path, payload
+    def __init__(self, path: str, payload: bool, only: list[str] | None = None):
+        self.path, self.payload, self.only = path, payload, None if only is None else frozenset(only)
 
     def partitions(self) -> list[Archives]:
         store, root = files.FileSystem.from_uri(self.path)
@@ -86,7 +87,7 @@ class TarReader(DataSourceReader):
         below = sorted((f.path[len(root) :].lstrip("/"), f) for f in found if f.type == files.FileType.File and f.path.endswith(".tar"))
         out, held = [Archives([])], 0
         for name, f in below:
-            if not shown(name):
+            if not shown(name) or (self.only is not None and name not in self.only):
                 continue
             if len(out[-1].paths) >= TASK_ARCHIVES or (self.payload and held and held + f.size > TASK_BYTES):
                 out.append(Archives([]))
@@ -177,7 +178,7 @@ class TarWriter(DataSourceArrowWriter):
 
 
 class TarSource(DataSource):
-    """Format "tar". Options: path, content (whether members' bytes are read)."""
+    """Format "tar". Options: path, content (whether members' bytes are read), only (a JSON list of the archives to open)."""
 
     @classmethod
     def name(cls) -> str:
@@ -190,7 +191,7 @@ class TarSource(DataSource):
         return HEADERS + ", content binary" * self._content()
 
     def reader(self, schema) -> TarReader:
-        return TarReader(self.options["path"], self._content())
+        return TarReader(self.options["path"], self._content(), json.loads(self.options.get("only", "null")))
 
     def writer(self, schema, overwrite: bool) -> TarWriter:
         return TarWriter(self.options["path"], overwrite)
@@ -205,13 +206,20 @@ def opens(path: str) -> bool:
     return True
 
 
-def read_tar(spark: SparkSession, path: str, payload: bool = False) -> DataFrame:
-    """Members of all archives (*.tar) under path, with content if payload. tar_path is the place below path."""
+def read_tar(spark: SparkSession, path: str, payload: bool = False, only: list[str] | None = None) -> DataFrame:
+    """Members of all archives (*.tar) under path, or of only some, with content if payload. tar_path is the place below path."""
     if opens(path):
         spark.dataSource.register(TarSource)
-        return spark.read.format("tar").option("content", payload).load(path)
+        return spark.read.format("tar").option("content", payload).option("only", json.dumps(only)).load(path)
     whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", True).load(path)
-    return members_of(whole.select("path", "content"), payload)
+    below = whole.withColumn("path", F.substring_index("path", path.rstrip("/") + "/", -1))
+    return members_of((below if only is None else below.where(F.col("path").isin(only))).select("path", "content"), payload)
+
+
+def archives(spark: SparkSession, path: str) -> DataFrame:
+    """tar_path and size of the archives under path, without opening one."""
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.tar").option("recursiveFileLookup", True).load(path)
+    return whole.select(F.substring_index("path", path.rstrip("/").rpartition(":")[2] + "/", -1).alias("tar_path"), F.col("length").alias("size"))
 
 
 def members_of(archives: DataFrame, payload: bool = False) -> DataFrame:
