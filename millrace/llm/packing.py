@@ -39,7 +39,7 @@ END_ID = 0
 BLOCK, ISLANDS, INDIVIDUALS, EPOCHS, GENERATIONS = 4096, 3, 3, 2, 3
 #: Units whose ids a Python worker remembers from one chunk of text to the next (some 200
 #: bytes each), and the bytes of a chunk.
-UNITS_KEPT, CHUNK = 200_000, 1 << 20
+UNITS_KEPT, CHUNK = 500_000, 1 << 20
 #: The tokenizer's rule for lower-cased texts up to Latin Extended-A; how tokens
 #: that end a word end; how special tokens begin.
 _LETTER, _NUMBER, _SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", " \\t\\n\\x0b\\f\\r\u0085\u00a0"
