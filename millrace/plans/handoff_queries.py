@@ -15,7 +15,7 @@ from ..operators.retry import ENTRY
 from ..operators.verify import verify
 from ..sources import artifacts, tar
 from ..sources.shared import new_path
-from . import archives, handoff
+from . import archives, convert, handoff
 from . import seed as seeds
 from .queries import MD5, query, table
 from .seed import build_seed
@@ -196,6 +196,22 @@ def agg7_archive_accounts(spark, d):
     return rows.select("tar_path", "rows", "members", "payload_bytes", "figure_members", "figure_bytes", F.coalesce("missing", F.lit(0)).alias("missing"), (F.col("tar_size_bytes") > 0).alias("exists"))
 
 
+@query(f"""{ARCHIVED_SQL} SELECT (SELECT count(*) FROM documents) AS manifest_rows, (SELECT count(*) FROM r) AS accepted_rows, (SELECT count(*) FROM ({MANIFEST_SQL}) WHERE status LIKE 'retry_blocked_%') AS retry_blocked_rows,
+ (SELECT count(*) FROM ({MANIFEST_SQL}) WHERE status IN ('ok', 'no_figures') AND (doc_id % 7 = 0 OR doc_id % 11 = 0)) AS rejected, (SELECT CAST(sum(xml_bytes) AS BIGINT) FROM r) AS xml_bytes, CAST(sum(size_bytes) AS BIGINT) AS payload_bytes, count(*) AS members,
+ count(DISTINCT tar_path) AS tar_files, count(*) FILTER (NOT there) + (SELECT count(DISTINCT tar_path) FROM r WHERE doc_id % 10 = 3) AS missing, (SELECT string_agg(status || '=' || n, ',' ORDER BY status) FROM (SELECT status, count(*) AS n FROM r GROUP BY 1)) AS accepted_status,
+ (SELECT count(*) FROM r) AS flat_rows, count(*) AS listed_members FROM s""")
+def cnv1_hand_off(spark, d):
+    """The whole hand-off written to a folder: what its summary tells, and how many rows of its artifacts are read back."""
+    rows, path = archived(spark, d)
+    every = manifest(spark, d).withColumn("tar_path", F.concat("tar_path", F.lit(".tar"))).withColumn("rendered_figure_files", F.lit(0).cast("long"))
+    out = new_path(spark, "handoff")
+    told = convert.convert(spark, every, seeds.load_seed(spark, f"{out}/no-seed"), path, out, strict=False)
+    flat, listed = spark.read.parquet(f"{out}/{convert.FLAT}").count(), spark.read.json(f"{out}/{convert.MEMBERS}").count()
+    kinds = ",".join(f"{k}={n}" for k, n in sorted(told["accepted_status_counts"].items()))
+    row = (told["manifest_rows"], told["accepted_rows"], told["retry_blocked_rows"], told["rejected_accepted_like_count"], told["byte_totals"]["xml_bytes_manifest"], told["member_totals"]["payload_bytes"], told["member_totals"]["members"], told["member_totals"]["tar_files"], told["missing_member_count"], kinds, flat, listed)
+    return spark.createDataFrame([row], "manifest_rows long, accepted_rows long, retry_blocked_rows long, rejected long, xml_bytes long, payload_bytes long, members long, tar_files long, missing long, accepted_status string, flat_rows long, listed_members long")
+
+
 @query("""WITH r AS (SELECT doc_id, concat('b-', doc_id % 12, '.tar') AS tar_path, doc_id % 12 < 8 AND doc_id % 5 = 2 AS target FROM documents), t AS (SELECT *, bool_or(target) OVER (PARTITION BY tar_path) AS touched FROM r),
 m AS (SELECT doc_id, tar_path, target AND touched AS again, touched, unnest(CASE WHEN target THEN ['new', 'x'] ELSE ['s', 'x'] END) AS kind, unnest([0, 1]) AS at_ FROM t)
 SELECT tar_path, row_number() OVER (PARTITION BY tar_path ORDER BY doc_id, at_) - 1 AS ordinal, concat(doc_id, '/', kind) AS member, sha256(CASE WHEN again THEN concat('repaired ', doc_id) ELSE concat(kind, doc_id) END) AS sha256 FROM m""")

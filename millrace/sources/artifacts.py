@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
@@ -66,6 +67,11 @@ def join_manifests(spark: SparkSession, path: str, to: str) -> int:
     return counted(lines, lambda rows: rows.write.text(to))["rows"]
 
 
+def json_text(document: dict) -> str:
+    """A document as compact JSON with sorted keys, one line."""
+    return json.dumps(document, sort_keys=True, separators=(",", ":"), ensure_ascii=False) + "\n"
+
+
 def listing(spark: SparkSession, path: str) -> DataFrame:
     """path, length and SHA-256 of every file under path, in order of path."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
