@@ -257,8 +257,8 @@ def _pieces(piece_rows: int, piece_bytes: int, batch_rows: int):
 
 def _cut(batches, piece_rows: int, piece_bytes: int, batch_rows: int):
     part, k = TaskContext.get().partitionId(), 0
-    whole, held, rows, size, conv, opened = [], 0, [], 0, None, True
-    begun = False  # whether any row came; the task's first conversation may have begun in another task
+    whole, held, weight, rows, size, conv = [], 0, 0, [], 0, None
+    begun, opened = False, True  # the task's first conversation may have begun in another task
 
     def raw():
         nonlocal rows, size, k
@@ -273,11 +273,11 @@ def _cut(batches, piece_rows: int, piece_bytes: int, batch_rows: int):
                     yield raw()
                 else:
                     whole.append((conv, rows))
-                    held += len(rows)
+                    held, weight = held + len(rows), weight + size
                     rows, size = [], 0
-                    if held >= batch_rows:
+                    if held >= batch_rows or weight >= piece_bytes:
                         yield _solved(part, k, whole)
-                        k, whole, held = k + len(whole), [], 0
+                        k, whole, held, weight = k + len(whole), [], 0, 0
                 opened = False
             elif len(rows) >= piece_rows or size >= piece_bytes:
                 opened = True  # too long to be solved here
