@@ -17,6 +17,7 @@ import io
 import json
 import tarfile
 import uuid
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,37 +33,105 @@ _HEAD = [("tar_path", pa.string()), ("ordinal", pa.int64()), ("member", pa.strin
 HEADERS = "tar_path string, ordinal long, member string, size long, is_file boolean"
 #: Bytes of content, and members, that are handed on at once.
 BATCH_BYTES, BATCH_ROWS = 8 << 20, 10_000
-#: Archives, and with content bytes, of one task.
-TASK_ARCHIVES, TASK_BYTES = 64, 128 << 20
+#: Archives of one task, and their bytes: with content, and as headers alone.
+TASK_ARCHIVES, TASK_BYTES, LISTED_BYTES = 64, 128 << 20, 1 << 30
+#: Bytes read at once where headers stand close together, and bytes of members that are written at once.
+AHEAD, WRITTEN_BYTES = 1 << 20, 4 << 20
+#: A plain header between its name, size and checksum, and the sum of all that does not change.
+_PLAIN = tarfile.TarInfo("x").tobuf()
+_BEFORE, _AFTER, _REST = _PLAIN[100:124], _PLAIN[135:148], _PLAIN[156:]
+_SUM = sum(_BEFORE) + sum(_AFTER) + sum(_REST) + 256
 #: Missing rows that a failed write names.
 NAMED = 10
 
 
-def members_in(tar: tarfile.TarFile) -> Iterator[tuple[int, tarfile.TarInfo]]:
-    """(ordinal, header) of each member; headers that are done with are not kept."""
-    ordinal = 0
-    while (m := tar.next()) is not None:
-        tar.members = []
-        yield ordinal, m
-        ordinal += 1
+def plain_header(name: str, size: int) -> bytes:
+    """The header of a regular file, as tarfile writes it."""
+    digits, data = b"%011o" % size, name.encode() if name.isascii() else b""
+    if not 0 < len(data) <= tarfile.LENGTH_NAME or len(digits) > 11:  # needs more than one block
+        info = tarfile.TarInfo(name)
+        info.size = size
+        return info.tobuf()
+    return b"".join((data.ljust(100, b"\0"), _BEFORE, digits, _AFTER, b"%06o\0 " % (_SUM + sum(data) + sum(digits)), _REST))
+
+
+def plain_member(block: bytes) -> tuple[str, int] | None:
+    """Name and size of a regular file whose header is this one block; None for all else, which tarfile reads."""
+    if block[156:157] != tarfile.REGTYPE or block[257:262] != b"ustar" or block[345] or not block[124:135].isdigit() or block[135] not in b"\0 ":
+        return None
+    # the bytes' sum is the low half of Adler-32, less 1; the checksum counts its own eight as blanks
+    told = block[148:156]
+    try:
+        total = int(told.split(b"\0")[0], 8) + sum(told) - 256
+        if (zlib.adler32(block) & 0xFFFF) != (total + 1) % 65521:
+            return None
+        return block[:100].split(b"\0", 1)[0].decode("ascii"), int(block[124:135], 8)
+    except ValueError:
+        return None
+
+
+def members_in(source, payload: bool) -> Iterator[tuple[str, int, bool, bytes | None]]:
+    """(name, size, whether it is a file, content) of each member of an open, seekable archive.
+
+    Headers that stand close together are read many at once, those far apart one by one."""
+    end = source.seek(0, io.SEEK_END)
+    at, start, window, ahead = 0, 0, b"", 512
+    while True:
+        if at > end:
+            raise tarfile.ReadError("unexpected end of data")
+        if not start <= at <= start + len(window) - 512:
+            ahead = min(2 * ahead, AHEAD) if at <= start + 2 * len(window) else 512
+            source.seek(at)
+            start, window = at, source.read(ahead)
+        block = window[at - start : at - start + 512]
+        plain = plain_member(block) if len(block) == 512 else None
+        if plain is not None:
+            name, size = plain
+            data, content = at + 512, None
+            if payload:
+                content = window[data - start : data - start + size]
+                if len(content) < size:
+                    source.seek(data)
+                    content = source.read(size)
+                if len(content) < size:
+                    raise tarfile.ReadError("unexpected end of data")
+            yield name, size, True, content
+            at = data + -(-size // 512) * 512
+            continue
+        source.seek(at)
+        with tarfile.open(fileobj=source, mode="r:") as tar:
+            while (m := tar.next()) is not None:
+                tar.members = []
+                yield m.name, m.size, m.isfile(), tar.extractfile(m).read() if payload and m.isfile() else None
+                at = tar.offset
+                if not tar.pax_headers:  # else they hold for all that follows
+                    break
+            if m is None:
+                return
 
 
 def batches_of(tar_path: str, source, payload: bool) -> Iterator[pa.RecordBatch]:
     """The members of an open, seekable archive as bounded batches."""
     schema = pa.schema(_HEAD + [("content", pa.binary())] * payload)
-    rows, size = [], 0
-    with tarfile.open(fileobj=source, mode="r:") as tar:
-        for ordinal, m in members_in(tar):
-            row = {"tar_path": tar_path, "ordinal": ordinal, "member": m.name, "size": m.size, "is_file": m.isfile()}
-            if payload and m.isfile():
-                row["content"] = tar.extractfile(m).read()
-                size += m.size
-            rows.append(row)
-            if size > BATCH_BYTES or len(rows) >= BATCH_ROWS:
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                rows, size = [], 0
-    if rows:
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+    first, size = 0, 0
+    columns = [[], [], [], []]
+
+    def batch() -> pa.RecordBatch:
+        n = len(columns[0])
+        arrays = [pa.repeat(pa.scalar(tar_path), n), pa.array(range(first, first + n), pa.int64()), *[pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.bool_(), pa.binary()))]]
+        return pa.RecordBatch.from_arrays(arrays[: len(schema)], schema=schema)
+
+    for m in members_in(source, payload):
+        for column, value in zip(columns, m):
+            column.append(value)
+        if payload and m[3] is not None:
+            size += m[1]
+        if size > BATCH_BYTES or len(columns[0]) >= BATCH_ROWS:
+            yield batch()
+            first, size = first + len(columns[0]), 0
+            columns = [[], [], [], []]
+    if columns[0]:
+        yield batch()
 
 
 @dataclass
@@ -85,11 +154,11 @@ class TarReader(DataSourceReader):
             found = store.get_file_info(files.FileSelector(root, recursive=True))
         shown = lambda p: not any(part.startswith(("_", ".")) for part in p.split("/"))
         below = sorted((f.path[len(root) :].lstrip("/"), f) for f in found if f.type == files.FileType.File and f.path.endswith(".tar"))
-        out, held = [Archives([])], 0
+        out, held, most = [Archives([])], 0, TASK_BYTES if self.payload else LISTED_BYTES
         for name, f in below:
             if not shown(name) or (self.only is not None and name not in self.only):
                 continue
-            if len(out[-1].paths) >= TASK_ARCHIVES or (self.payload and held and held + f.size > TASK_BYTES):
+            if len(out[-1].paths) >= TASK_ARCHIVES or (held and held + f.size > most):
                 out.append(Archives([]))
                 held = 0
             out[-1].paths.append((f.path, name))
@@ -124,12 +193,22 @@ class TarWriter(DataSourceArrowWriter):
         store, root = self._store()
         folder = f"{root}/{self.job}/{uuid.uuid4().hex}"  # an attempt's own
         store.create_dir(folder, recursive=True)
-        done, missing, at, out, tar = [], [], None, None, None
+        done, missing, at, out, names = [], [], None, None, set()
+        parts, held, written = [], 0, 0  # blocks that wait, their bytes, and bytes of the archive that are written
+
+        def flush():
+            nonlocal parts, held, written
+            out.write(b"".join(parts))
+            parts, held, written = [], 0, written + held
 
         def close():
-            if tar is not None:
-                tar.close()
+            nonlocal held, written
+            if out is not None:
+                size = written + held + 2 * tarfile.BLOCKSIZE
+                parts.append(bytes(2 * tarfile.BLOCKSIZE + -size % tarfile.RECORDSIZE))
+                flush()
                 out.close()
+                written = 0
 
         for batch in iterator:
             columns = [batch.column(batch.schema.get_field_index(c)) for c in ("tar_path", "row", "member", "content")]
@@ -141,16 +220,19 @@ class TarWriter(DataSourceArrowWriter):
                     continue
                 if name != at:
                     close()
-                    if name in {d[1] for d in done}:
+                    if name in names:
                         raise ValueError(f"the rows of {name} do not stand together")
+                    names.add(name)
                     done.append([f"{folder}/{len(done)}.tar", name, 0, 0])
-                    at, out = name, store.open_output_stream(done[-1][0])
-                    tar = tarfile.open(fileobj=out, mode="w|")
+                    at, out, last = name, store.open_output_stream(done[-1][0]), done[-1]
                 data = content.as_py()
-                info = tarfile.TarInfo(member)
-                info.size = len(data)
-                tar.addfile(info, io.BytesIO(data))
-                done[-1][2:] = done[-1][2] + 1, done[-1][3] + len(data)
+                header, size = plain_header(member, len(data)), len(data)
+                parts += header, data, bytes(-size % tarfile.BLOCKSIZE)
+                held += len(header) + size + -size % tarfile.BLOCKSIZE
+                last[2] += 1
+                last[3] += size
+                if held > WRITTEN_BYTES:
+                    flush()
         close()
         if missing:
             raise ValueError(f"archives with missing rows are not written: {', '.join(missing)}")
