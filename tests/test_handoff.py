@@ -74,6 +74,17 @@ def test_first_wins_with_nulls_and_a_hot_key(spark):
     assert got == {None: (1, None), "k": (None, "z"), "hot": (1, "1")}
 
 
+def test_first_wins_by_hash_equals_the_sort(spark):
+    """Numbers by one order need no sort; nulls come first, as by any other way."""
+    rows = spark.range(4000).select((F.col("id") % 7).alias("k"), F.when(F.col("id") % 9 > 0, (F.col("id") * 31) % 4001).alias("v"), F.when((F.col("id") % 7 != 3) | (F.col("id") != 3), (F.col("id") * 17) % 4001).alias("at"))
+    lean, whole = dedup.first_wins(rows, ["k"], ["at"]), dedup.first_wins(rows, ["k"], [F.col("at")])
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan(lean) and "SortAggregate" in plan(whole)
+    assert sorted(lean.collect()) == sorted(whole.collect()) and lean.columns == rows.columns
+    assert lean.where("k = 3 and at is null").count() == 1
+
+
+
 def test_tolerant_read_leaves_the_session_alone(spark, tmp_path):
     import gzip
 
