@@ -178,9 +178,10 @@ def prt2_shard_files(spark, d):
 def src5_tolerant_prefixes(spark, d):
     """A file for each user, of which some have a bad line: what stands before it."""
     line = F.when(F.col("event_id") % 101 == 0, "{bad").otherwise(F.to_json(F.struct("event_id")))
-    rows = table(spark, d, "events").select("user_id", "event_id", line.alias("value"))
+    user = F.coalesce(F.col("user_id").cast("string"), F.lit("none"))
+    file = F.concat(F.pmod(F.xxhash64("user_id"), F.lit(64)).cast("string"), F.lit("/user-"), user, F.lit(".jsonl"))
     path = new_path(spark, "logs")
-    rows.repartition("user_id").sortWithinPartitions("user_id", "event_id").drop("event_id").write.partitionBy("user_id").text(path)
+    artifacts.write_text_files(table(spark, d, "events").select(file.alias("file"), "event_id", line.alias("value")), path, ("event_id",))
     return jsonl.read_prefixes(spark, path, StructType([StructField("event_id", LongType())])).select("event_id")
 
 

@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import fs as files
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,6 +40,45 @@ def transfer_metrics(status: Column, n_bytes: Column, wait_seconds: Column) -> d
     }
 
 
+def _text_files(path: str):
+    def run(batches):
+        store, root = files.FileSystem.from_uri(path)
+        made, at, out, draft, n = set(), None, None, f"{root}/.{uuid.uuid4().hex}", 0
+
+        def close():
+            if out is not None:
+                out.close()
+                folder = f"{root}/{at}".rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                store.move(draft, f"{root}/{at}")
+
+        store.create_dir(root, recursive=True)
+        for batch in batches:
+            names = batch.column(0)
+            starts = [0, *(np.flatnonzero(pc.not_equal(names[1:], names[:-1]).to_numpy(zero_copy_only=False)) + 1).tolist(), len(names)] if len(names) else []
+            for a, b in zip(starts, starts[1:]):
+                name = names[a].as_py()
+                if name != at:
+                    close()
+                    at, out, n = name, store.open_output_stream(draft), n + 1
+                out.write(("\n".join(batch.column(1)[a:b].to_pylist()) + "\n").encode())
+        close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["files"])
+
+    return run
+
+
+def write_text_files(rows: DataFrame, path: str, order: tuple[str, ...]) -> int:
+    """rows (file, value and the columns of order) as text files under path, each named file and
+    its lines in that order. Returns how many. A task streams its files one after the other; a
+    file takes its name when it is whole. Folders hold many files each, which are far cheaper to
+    write and to list than a folder for each."""
+    dealt = rows.repartition("file").sortWithinPartitions("file", *order).select("file", F.coalesce("value", F.lit("")).alias("value"))
+    return dealt.mapInArrow(_text_files(path), "files long").agg(F.coalesce(F.sum("files"), F.lit(0)).alias("files")).first()["files"]
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """file, at (number of a line in its file, from 0), ordinal (over all files in order of
     path) and value of all lines under path that are not blank.

@@ -9,6 +9,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators.dedup import first_wins
 
 BAD = "_corrupt_record"
+#: Tasks that a scan of very many small files is drawn together to.
+SCAN_TASKS = 1000
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, parts: bool = False) -> DataFrame:
@@ -33,10 +35,11 @@ def read_prefixes(spark: SparkSession, path: str, schema: StructType) -> DataFra
     """Of each file the lines before the first bad one; a compressed file that is cut short ends there.
 
     Lines are ordered by where their part of the file begins, then as its task reads them.
-    Only this read skips what is corrupt; the session's setting stays as it is.
+    Only this read skips what is corrupt; the session's setting stays as it is. Folders below
+    path are read too. Parts keep their ids where tasks take several of them.
     """
     at = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
-    lines = spark.read.option("ignoreCorruptFiles", True).text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("line"), "value").where("trim(value) <> ''")
+    lines = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("line"), "value").coalesce(SCAN_TASKS).where("trim(value) <> ''")
     full = StructType([*schema.fields, StructField(BAD, StringType())])
     rows = lines.withColumn("r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
     bad = rows.where(F.col(f"r.{BAD}").isNotNull()).groupBy("file").agg(F.min("line").alias("_bad"))

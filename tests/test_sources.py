@@ -6,7 +6,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.plans.handoff import accounts, figure_sums, split
 from millrace.plans.seed import build_seed
-from millrace.sources import jsonl, tar
+from millrace.sources import artifacts, jsonl, tar
 from millrace.streaming.liveness import last_beats
 
 
@@ -19,6 +19,23 @@ def test_tolerant_prefix(spark, tmp_path):
     assert jsonl.read_jsonl(spark, str(tmp_path / "b.jsonl.gz"), "x long").count() == 2
 
 
+def test_many_small_files(spark, tmp_path, monkeypatch):
+    """Few folders for many files, lines in order, and a scan of few tasks, which gives the same prefixes."""
+    monkeypatch.setattr(jsonl, "SCAN_TASKS", 3)
+    k = F.col("id")
+    rows = spark.range(3000, numPartitions=3).select(F.concat((k % 4).cast("string"), F.lit("/f"), (k % 300).cast("string")).alias("file"), (-k).alias("at"), F.when(k % 700 == 13, "{bad").otherwise(F.to_json(F.struct(k.alias("x")))).alias("value"))
+    assert artifacts.write_text_files(rows, f"file:{tmp_path}/logs", ("at",)) == 300
+    assert sorted(p.name for p in (tmp_path / "logs").iterdir()) == ["0", "1", "2", "3"] and len(list((tmp_path / "logs").rglob("*"))) == 304
+    assert (tmp_path / "logs/1/f13").read_text().splitlines()[:3] == ['{"x":2713}', '{"x":2413}', "{bad"]
+    got = jsonl.read_prefixes(spark, f"file:{tmp_path}/logs", StructType([StructField("x", LongType())]))
+    last = {k: max([i for i in range(k, 3000, 300) if i % 700 == 13], default=-1) for k in range(300)}
+    assert sorted(r["x"] for r in got.select("x").collect()) == [i for i in range(3000) if i > last[i % 300]]
+    lines = spark.read.option("recursiveFileLookup", True).text(f"file:{tmp_path}/logs")
+    assert lines.rdd.getNumPartitions() > 3
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Repartition 3, false") == 2
+
+
 def test_identifier_pages(spark, tmp_path):
     for i, codes in enumerate((["a", "", "b"], ["b", "c"])):
         (tmp_path / f"p{i}.json").write_text(json.dumps({"meta": {"total": 4}, "objects": [{"code": c, "collection": "x"} for c in codes]}))
