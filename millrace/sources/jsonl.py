@@ -11,6 +11,8 @@ from ..operators.dedup import first_wins
 BAD = "_corrupt_record"
 #: Tasks that a scan of very many small files is drawn together to.
 SCAN_TASKS = 1000
+#: Bytes of a file that is read whole, as a row; larger files, and those that Spark unpacks, are read in parts.
+WHOLE_BYTES, PACKED = 1 << 20, r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType | str, parts: bool = False) -> DataFrame:
@@ -34,16 +36,28 @@ def read_identifiers(spark: SparkSession, path: str) -> DataFrame:
 def read_prefixes(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Of each file the lines before the first bad one; a compressed file that is cut short ends there.
 
-    Lines are ordered by where their part of the file begins, then as its task reads them.
-    Only this read skips what is corrupt; the session's setting stays as it is. Folders below
-    path are read too. Parts keep their ids where tasks take several of them.
+    Small files are rows, each cut at its own first bad line. Lines of others are ordered by
+    where their part of the file begins, then as its task reads them. Only this read skips
+    what is corrupt; the session's setting stays as it is. Folders below path are read too.
     """
-    at = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
-    lines = spark.read.option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).text(path).select(F.col("_metadata.file_path").alias("file"), at.alias("line"), "value").coalesce(SCAN_TASKS).where("trim(value) <> ''")
     full = StructType([*schema.fields, StructField(BAD, StringType())])
-    rows = lines.withColumn("r", F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}))
+    parsed = lambda value: F.from_json(value, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD})
+    whole = (F.col("_metadata.file_size") <= WHOLE_BYTES) & ~F.col("_metadata.file_path").rlike(PACKED)
+    read = lambda form: spark.read.format(form).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True).load(path)
+    columns = ["file", "line", *[F.col(f"r.{f.name}") for f in schema.fields]]
+
+    small = read("binaryFile").where(whole).select(F.col("_metadata.file_path").alias("file"), F.col("content").cast("string").alias("text")).coalesce(SCAN_TASKS)
+    small = small.select("file", F.transform(F.split("text", r"\r\n|\r|\n"), lambda v: F.when(F.trim(v) != "", parsed(v))).alias("rows"))
+    first = F.array_position(F.transform("rows", lambda r: F.coalesce(r[BAD].isNotNull(), F.lit(False))), True)
+    small = small.select("file", F.posexplode(F.when(first > 0, F.slice("rows", F.lit(1), (first - 1).cast("int"))).otherwise(F.col("rows"))).alias("at", "r")).where(F.col("r").isNotNull())
+    small = small.select("file", F.struct(F.lit(0).cast("long").alias("part"), F.col("at").cast("long").alias("row")).alias("line"), "r").select(*columns)
+
+    at = F.struct(F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))  # parts keep their ids where tasks take several
+    lines = read("text").where(~whole).select(F.col("_metadata.file_path").alias("file"), at.alias("line"), "value").coalesce(SCAN_TASKS).where("trim(value) <> ''")
+    rows = lines.withColumn("r", parsed("value"))
     bad = rows.where(F.col(f"r.{BAD}").isNotNull()).groupBy("file").agg(F.min("line").alias("_bad"))
-    return rows.join(bad, "file", "left").where(F.col("_bad").isNull() | (F.col("line") < F.col("_bad"))).select("file", "line", *[F.col(f"r.{f.name}") for f in schema.fields])
+    large = rows.join(bad, "file", "left").where(F.col("_bad").isNull() | (F.col("line") < F.col("_bad"))).select(*columns)
+    return small.unionByName(large)
 
 
 def newest(files: DataFrame) -> DataFrame:

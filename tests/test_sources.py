@@ -30,10 +30,23 @@ def test_many_small_files(spark, tmp_path, monkeypatch):
     got = jsonl.read_prefixes(spark, f"file:{tmp_path}/logs", StructType([StructField("x", LongType())]))
     last = {k: max([i for i in range(k, 3000, 300) if i % 700 == 13], default=-1) for k in range(300)}
     assert sorted(r["x"] for r in got.select("x").collect()) == [i for i in range(3000) if i > last[i % 300]]
-    lines = spark.read.option("recursiveFileLookup", True).text(f"file:{tmp_path}/logs")
-    assert lines.rdd.getNumPartitions() > 3
-    plan = got._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Repartition 3, false") == 2
+    assert spark.read.option("recursiveFileLookup", True).text(f"file:{tmp_path}/logs").rdd.getNumPartitions() > 3
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Repartition 3, false") == 3
+    monkeypatch.setattr(jsonl, "WHOLE_BYTES", 90)  # some are read in parts then
+    parts = jsonl.read_prefixes(spark, f"file:{tmp_path}/logs", StructType([StructField("x", LongType())]))
+    both = lambda df: sorted((r["file"], r["x"]) for r in df.select("file", "x").collect())
+    assert both(parts) == both(got) and parts.where("line.row > 1000000").count() > 0 and parts.where("line.row < 1000000").count() > 0
+
+
+def test_lines_of_small_files_are_those_of_the_text_source(spark, tmp_path, monkeypatch):
+    """Ends of lines, blanks, bytes that are no UTF-8, a bad first line, empty files."""
+    data = {"a": b'{"x": 1}\r\n \r{"x": 2}\n\n{"x": 3}', "b": b'\xff\n{"x": 4}\n', "c": b"", "d": b'{"x": 5, "y": "\xff"}\n{"x": 6}\nbad\n{"x": 7}\n', "e": b'{"x": "t"}\n{"x": 8}\n'}
+    for name, content in data.items():
+        (tmp_path / name).write_bytes(content)
+    read = lambda: sorted((r["file"], r["x"]) for r in jsonl.read_prefixes(spark, str(tmp_path), StructType([StructField("x", LongType())])).select("file", "x").collect())
+    small = read()
+    monkeypatch.setattr(jsonl, "WHOLE_BYTES", -1)
+    assert small == read() and [x for _, x in small] == [1, 2, 3, 5, 6]
 
 
 def test_identifier_pages(spark, tmp_path):
