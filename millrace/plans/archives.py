@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..operators.dedup import first_wins
 from ..operators.joins import inventory, member_sizes
 from ..sources import tar
+from ..sources.shared import new_path
 from .handoff import KINDS, members, payload_members
 
 #: Missing members that an account shows, and that a strict one names.
@@ -38,11 +39,15 @@ def account(spark: SparkSession, rows: DataFrame, path: str, strict: bool = Fals
     """The members that accepted rows name, against the archives under path: their sizes as
     the archives' headers tell them, the last of equal names, 0 for what is missing. An
     archive that does not exist is one missing thing, and with it each of its members. With
-    strict, anything missing is an error that names the first of them."""
+    strict, anything missing is an error that names the first of them. The members with their
+    sizes are written to the shared folder, so the archives are read once, whatever is asked
+    of the account."""
     named = rows.groupBy("tar_path").agg(F.count("*").alias("rows"))
     sizes = tar.archives(spark, path).select("tar_path", F.col("size").alias("_tar_size"))
     found = tar.member_sizes(tar.read_tar(spark, path))
-    sized = member_sizes(members(rows), found, ["tar_path", "member"], "size")
+    kept = new_path(spark, "account")
+    member_sizes(members(rows), found, ["tar_path", "member"], "size").write.parquet(kept)
+    sized = spark.read.parquet(kept)
     per = named.join(sizes, "tar_path", "left").join(inventory(sized, "tar_path", F.col("kind"), list(KINDS)), "tar_path")
     lost = per.where("_tar_size is null").select("tar_path", F.lit(None).cast("string").alias("member"), F.lit(None).cast("string").alias("source_id"), F.lit("missing_tar").alias("error"))
     lost = lost.unionByName(sized.where("missing").select("tar_path", "member", "source_id", F.lit("missing_member").alias("error")))

@@ -63,3 +63,13 @@ def test_repair_in_an_archive(spark, tmp_path):
     nothing = archives.repaired(spark, str(tmp_path / "d"), rows.withColumn("target", F.lit(False)), new)
     assert nothing.count() == 0
     assert {r["tar_path"] for r in tar.read_tar(spark, str(tmp_path / "d"), only=["s/1.tar"]).collect()} == {"s/1.tar"}
+
+
+def test_an_account_reads_the_archives_once(spark, tmp_path):
+    """What is asked of an account later comes from what it has kept."""
+    build(tmp_path / "data/a.tar", [("1/x", b"xx"), ("1/s", b"s")])
+    rows = spark.createDataFrame([("1", "a.tar", "1/x", "1/s", [("ok", "1/f")])], f"source_id string, tar_path string, xml_member string, source_member string, {FIGURES}")
+    told = archives.account(spark, rows, str(tmp_path / "data"))
+    build(tmp_path / "data/a.tar", [])
+    assert sorted((r["member"], r["size_bytes"]) for r in told.members.collect()) == [("1/f", 0), ("1/s", 1), ("1/x", 2)]
+    assert [r["member"] for r in told.first_missing().collect()] == ["1/f"]
