@@ -10,9 +10,10 @@ After each epoch every island sends its elite to the next one, by a shuffle. The
 individual of a block over its islands gives the sequences; a block ends its search when
 it needs no more sequences than its tokens fill. Full pieces stand alone.
 
-The tokenizer splits a text into words, digits and runs of signs and encodes each apart,
-so the distinct ones of a chunk of text are encoded once and their ids remembered, a
-bounded number in each Python worker.
+The tokenizer splits a text into words, digits and runs of signs and encodes each apart.
+Here the bytes of a chunk of text are split as arrays; the distinct units of a chunk are
+looked up once, and the new ones encoded once and their ids remembered, a bounded number in
+each Python worker.
 
 Defined results: null texts are empty, and an empty document is the end id alone;
 repeated rows are packed as often as they occur; an empty table gives no sequences.
@@ -40,13 +41,20 @@ BLOCK, ISLANDS, INDIVIDUALS, EPOCHS, GENERATIONS = 4096, 3, 3, 2, 3
 #: Units whose ids a Python worker remembers from one chunk of text to the next (some 200
 #: bytes each), and the bytes of a chunk.
 UNITS_KEPT, CHUNK = 500_000, 1 << 20
-#: The tokenizer's rule for lower-cased texts up to Latin Extended-A; how tokens
-#: that end a word end; how special tokens begin.
+#: The tokenizer's rule for lower-cased texts up to Latin Extended-A, which is these
+#: contractions, else a run of letters, a number, or a run of signs; how tokens that end a word end.
 _LETTER, _NUMBER, _SPACE = "a-z\u00aa\u00b5\u00ba\u00df-\u00f6\u00f8-\u017f", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be", " \\t\\n\\x0b\\f\\r\u0085\u00a0"
-RULE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-WORD = re.compile(r"[^ \t\n\x0b\f\r]+")
+SHORT, LONG, WORD_END = b"stmd", (b"re", b"ve", b"ll"), "</w>"
 #: What the rule is not for: all beyond Latin Extended-A, and the letter whose lower case is two.
-FOREIGN, WORD_END, SPECIAL = re.compile("[^\x00-\u012f\u0131-\u017f]"), "</w>", "<|"
+FOREIGN = re.compile("[^\x00-\u012f\u0131-\u017f]")
+#: The kind of each character that the rule is for, and its lower case.
+SPACE, LETTER, NUMBER, SIGN, WHOLE = range(5)
+_LOWER = [chr(c) if FOREIGN.match(chr(c)) else chr(c).lower() for c in range(0x180)]
+LOWER = np.array([*map(ord, _LOWER)], np.uint16)
+KIND = np.array([next((k for k, x in ((SPACE, _SPACE), (LETTER, _LETTER), (NUMBER, _NUMBER)) if re.match(f"[{x}]", c)), SIGN) for c in _LOWER], np.uint8)
+#: The same of bytes; those of characters beyond ASCII get theirs in pairs.
+BYTE_LOWER, BYTE_KIND = np.arange(256, dtype=np.uint8), np.full(256, SIGN, np.uint8)
+BYTE_LOWER[:128], BYTE_KIND[:128] = LOWER[:128], KIND[:128]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -55,14 +63,72 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class WordIds(dict):
-    """unit -> its ids as little-endian unsigned 32-bit numbers.
+def split(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The units of texts that lie one after another in data, as UTF-8, and how many there are up to each end.
 
     Units are what the tokenizer's own rule splits a text into, and are encoded apart. The
-    rule is applied here to texts of Basic Latin to Latin Extended-A, which its normal form
-    (NFC) leaves alone; other words, and those with special tokens, are units as they
-    stand. The new units of a chunk of text are learned together: a unit of letters ends
-    with the one id that ends words, so many are encoded in one call and told apart.
+    rule is applied here to words of Basic Latin to Latin Extended-A, which the tokenizer's
+    normal form (NFC) leaves alone; other words, and those with special tokens, are units as
+    they stand.
+    """
+    n = len(data)
+    if not n:
+        return pa.array([], pa.binary()), np.zeros(len(ends), np.int64)
+    first = np.zeros(n + 1, bool)
+    first[0] = first[ends] = True
+    low, kind = BYTE_LOWER[data], BYTE_KIND[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    code = (data[lead] & 31).astype(np.uint16) << 6 | data[lead + 1] & 63
+    foreign = (data[lead] > 0xC5) | (code == 0x130)
+    pair, code = lead[~foreign], code[~foreign]
+    low[pair], low[pair + 1] = 0xC0 | LOWER[code] >> 6, 0x80 | LOWER[code] & 63
+    kind[pair] = kind[pair + 1] = KIND[code]
+    special = np.flatnonzero(data[:-1] == ord("<"))  # special tokens begin with <|
+    if len(odd := np.concatenate([lead[foreign], special[data[special + 1] == ord("|")]])):
+        white = (data == 32) | (data - np.uint8(9) < 5)  # other white space stays inside words
+        word = np.cumsum(white | first[:n])
+        is_odd = np.zeros(word[-1] + 1, bool)
+        is_odd[word[odd]] = True
+        whole = is_odd[word] & ~white
+        low[whole], kind[whole] = data[whole], WHOLE
+    start = first.copy()
+    start[1:n] |= (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+    start[pair + 1] = False
+    # contractions: where one follows a quote that begins a unit, the unit ends behind it
+    quote = np.flatnonzero(data[:-1] == ord("'"))
+    quote = quote[start[quote] & (kind[quote] == SIGN) & ~first[quote + 1]]
+    ends_at = np.where(np.isin(low[quote + 1], list(SHORT)), quote + 2, 0)
+    far = quote + 2 < n
+    two = quote[far]
+    for a, b in LONG:
+        ends_at[far] = np.where((low[two + 1] == a) & (low[two + 2] == b) & ~first[two + 2], two + 3, ends_at[far])
+    start[quote[ends_at > 0] + 1] = False
+    start[ends_at[ends_at > 0]] = True
+    kept = kind != SPACE
+    start = start[:n] & kept
+    offsets = np.append(np.flatnonzero(start[kept]), np.count_nonzero(kept)).astype(np.int32)
+    units = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(low[kept])])
+    return units, np.searchsorted(np.flatnonzero(start), ends)
+
+
+def cuts(data: np.ndarray, most: int) -> list[int]:
+    """Where to cut data into parts of about most bytes or a word: behind a space or line end."""
+    out, at = [0], most
+    while at < len(data):
+        ends = np.flatnonzero(np.isin(data[at : at + most], (10, 32)))
+        at += int(ends[0]) + 1 if len(ends) else most
+        if len(ends) and at < len(data):
+            out.append(at)
+            at += most
+    return [*out, len(data)]
+
+
+class WordIds:
+    """unit -> its ids as little-endian unsigned 32-bit numbers, as the tokenizer encodes it.
+
+    Each distinct unit of a chunk of text is looked up once. New ones are learned together: a
+    unit of letters ends with the one id that ends words, so many are encoded in one call and
+    told apart. Units met in one chunk wait in once, those met in more are in again.
     """
 
     def __init__(self, path: str):
@@ -71,61 +137,67 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.again = Tokenizer.from_file(path), set()
-        # for units of lower-case ASCII letters, which no normal form or byte coding changes
+        self.tokenizer = Tokenizer.from_file(path)
+        self.once: dict[bytes, bytes] = {}
+        self.again: dict[bytes, bytes] = {}
+        # for units of lower-case letters, which no normal form changes and no rule splits, with their bytes spelled as the model's
         self.lean = Tokenizer(self.tokenizer.model)
         self.lean.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.spelled = {c: "".join(x for x, _ in spelled.pre_tokenize_str(chr(c))) for c in range(0x80, 0x180)}
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
 
-    def encoded(self, unit: str) -> bytes:
-        return array("I", self.tokenizer.encode(unit, add_special_tokens=False).ids).tobytes()
-
-    def learn(self, units: set[str]) -> None:
-        ascii_ = [u for u in units if u.isascii() and u.isalpha()]
-        latin = [u for u in units if not u.isascii() and u.isalpha() and u.islower() and not FOREIGN.search(u)]
-        for tokenizer, plain in ((self.lean, ascii_), (self.tokenizer, latin)):
-            if not plain:
-                continue
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
-            if len(cuts) == len(plain) + 1:
+    def encoded(self, unit: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(unit.decode(), add_special_tokens=False).ids).tobytes()
+
+    def learn(self, units: list[bytes]) -> None:
+        ascii_ = [u for u in units if u.isalpha()]
+        latin = [u for u in units if not u.isascii() and (t := u.decode()).isalpha() and t.islower() and not FOREIGN.search(t)]
+        if plain := ascii_ + latin:
+            text = b" ".join(ascii_).decode() + " " + b" ".join(latin).decode().translate(self.spelled)
+            ids = np.array(self.lean.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            at = [0, *((np.flatnonzero(self.ends_word[ids]) + 1) * 4).tolist()]
+            if len(at) == len(plain) + 1:
                 data = ids.tobytes()
-                self.update((u, data[cuts[k] : cuts[k + 1]]) for k, u in enumerate(plain))
+                self.once.update((u, data[at[k] : at[k + 1]]) for k, u in enumerate(plain))
         for u in units:
-            if u not in self:
-                self[u] = self.encoded(u)
-
-    def units(self, text: str) -> list[str]:
-        if SPECIAL not in text and (text.isascii() or not FOREIGN.search(text)):
-            return RULE.findall(text.lower())
-        out = []
-        for word in WORD.findall(text):  # other white space stays inside words
-            if SPECIAL not in word and (word.isascii() or not FOREIGN.search(word)):
-                out += RULE.findall(word.lower())
+            if u not in self.once:
+                self.once[u] = self.encoded(u)
+
+    def known(self, units: list[bytes]) -> list[bytes]:
+        """The ids of distinct units."""
+        out, new = list(map(self.again.get, units)), []
+        for k in [k for k, ids in enumerate(out) if ids is None]:
+            if (ids := self.once.pop(units[k], None)) is None:
+                new.append(k)
             else:
-                out.append(word)
+                out[k] = self.again[units[k]] = ids
+        if new:
+            self.learn([units[k] for k in new])
+            for k in new:
+                out[k] = self.once[units[k]]
+        if len(self.once) + len(self.again) > UNITS_KEPT:  # those stay that were met again since the last time
+            self.once, self.again = ({}, self.again) if len(self.again) <= UNITS_KEPT * 3 // 4 else (self.again, {})
         return out
 
-    def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        split = [self.units(t) for t in texts]
-        every = set().union(*split)
-        if new := every - self.keys():
-            self.learn(new)
-        self.again |= every - new
-        out = [b"".join(map(self.__getitem__, units)) for units in split]
-        if len(self) > UNITS_KEPT:  # those stay that were met again since the last time
-            stay = self.again if len(self.again) <= UNITS_KEPT * 3 // 4 else self.again & every
-            last = {u: self[u] for u in stay}
-            self.clear()
-            self.update(last if len(last) <= UNITS_KEPT * 3 // 4 else {})
-            self.again = set()
-        return out
+    def of(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that lie one after another in data, and how many there are up to each end."""
+        parts, counts = [np.zeros(0, "<u4")], np.zeros(len(ends), np.int64)
+        at = cuts(data, CHUNK)
+        for a, b in zip(at, at[1:]):
+            units, upto = split(data[a:b], np.clip(ends - a, 0, b - a))
+            distinct = units.dictionary_encode()
+            ids = pa.array(self.known(distinct.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.binary()).take(distinct.indices)
+            places = np.frombuffer(ids.buffers()[1], np.int32, len(ids) + 1, 0) if len(ids) else np.zeros(1, np.int32)
+            if len(ids):
+                parts.append(np.frombuffer(ids.buffers()[2], "<u4", places[-1] // 4))
+            counts += places[upto] // 4
+        return np.concatenate(parts), counts
 
     def ids(self, text: bytes) -> bytes:
-        return self.of([text.decode()])[0]
+        return self.of(np.frombuffer(text, np.uint8), np.array([len(text)]))[0].tobytes()
 
 
 def word_ids(path: str) -> WordIds:
@@ -141,17 +213,27 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("piece", pa.i
 _END = np.array([END_ID], "<u4").tobytes()
 
 
+def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column of texts (null: empty), one text after another, and where each ends."""
+    column = (column.fill_null("") if column.null_count else column).cast(pa.large_string())
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(0, np.int64)
+    at = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[at[0] : at[-1]], at[1:] - at[0]
+
+
 def _pieces(path: str, sequence: int):
     def run(batches):
         words = word_ids(path)
         for batch in slices(batches, CHUNK):
-            texts = [x or "" for x in batch.column(1).to_pylist()]
-            out = [[] for _ in _PIECES]
-            for doc_id, row, ids in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), words.of(texts), strict=True):
-                ids += _END
-                for k, at in enumerate(range(0, len(ids), 4 * sequence)):
-                    part = ids[at : at + 4 * sequence]
-                    for column, value in zip(out, (doc_id, row, k, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+            every, ends = words.of(*text_bytes(batch.column(1)))
+            out, at = [[] for _ in _PIECES], 0
+            for doc_id, row, end in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), ends.tolist(), strict=True):
+                ids, at = every[at:end].tobytes() + _END, end
+                for k, start in enumerate(range(0, len(ids), 4 * sequence)):
+                    part = ids[start : start + 4 * sequence]
+                    for column, value in zip(out, (doc_id, row, k, start // 4, len(part) // 4, zlib.crc32(part)), strict=True):
                         column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _PIECES, strict=True)], schema=_PIECES)
 
